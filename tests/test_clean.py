@@ -1,0 +1,148 @@
+import hashlib
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from casemill import CleanSpec, schemas
+from casemill.operators import clean
+
+from cases import LENIENT_BAD, MESSAGES, NOW, RECORDS, REASONS, TYPED, envelope, messages
+
+
+def short_md5(text):
+    return hashlib.md5(text.encode()).hexdigest()[:16]
+
+
+def by_text(rows, column):
+    return {row[column]: row for row in rows}
+
+
+def typed(spark, spec=CleanSpec(), cases=RECORDS):
+    return clean.typed_rows(clean.parse(messages(spark, cases), spec), spec, NOW)
+
+
+def test_typed_values(spark):
+    rows = by_text(typed(spark).collect(), "raw_record")
+    assert set(rows) == {RECORDS[case] for case in TYPED}
+    for case, want in TYPED.items():
+        row = rows[RECORDS[case]]
+        weight = row.patient_weight
+        got = (
+            row.patient_age,
+            "nan" if weight is not None and math.isnan(weight) else weight,
+            row.patient_sex,
+            row.medicinal_product,
+            row.reaction,
+            row.receipt_date and str(row.receipt_date),
+            row.risk_label,
+        )
+        assert got == want, case
+
+
+def test_output_contract(spark):
+    result = clean.clean(messages(spark), now=NOW)
+    assert dict(result.clean.dtypes) == schemas.CLEAN and result.clean.columns == list(schemas.CLEAN)
+    assert dict(result.bad.dtypes) == schemas.BAD
+    assert dict(result.raw.dtypes) == schemas.RAW
+
+
+def test_ids(spark):
+    ids = {r.raw_record: r.report_id for r in typed(spark).collect()}
+    assert ids[RECORDS["E01"]] == "r1"
+    assert ids[RECORDS["E14"]] == "77"
+    assert ids[RECORDS["E13"]] == "99914b932bd37a50"
+    for case in ("E03", "E04"):
+        assert ids[RECORDS[case]] == short_md5(RECORDS[case])
+
+
+def test_lenient_ids(spark):
+    ids = {r.raw_record: r.report_id for r in typed(spark, CleanSpec.compat()).collect()}
+    assert ids[RECORDS["E04"]] == ""
+    assert ids[RECORDS["E10"]] == "r10"
+    assert ids[RECORDS["E09"]] == short_md5(RECORDS["E09"])
+    assert ids[RECORDS["E12"]] == "37a6259cc0c1dae2"
+
+
+def test_reasons(spark):
+    rows = clean.clean(messages(spark), now=NOW).bad.collect()
+    got = sorted((r.raw_data or "", r.error_reason) for r in rows)
+    assert got == sorted((RECORDS[case] or "", reason) for case, reason in REASONS.items())
+
+
+def test_lenient_keeps_broken_records(spark):
+    spec = CleanSpec.compat()
+    result = clean.clean(messages(spark), spec, NOW)
+    assert sorted(r.raw_data or "" for r in result.bad.collect()) == sorted(RECORDS[c] or "" for c in LENIENT_BAD)
+    assert {r.error_reason for r in result.bad.collect()} == {"failed_json_parse"}
+    broken = by_text(result.clean.collect(), "raw_record")[RECORDS["E06"]]
+    assert (broken.risk_label, broken.patient_sex, broken.reaction) == (0, "unknown", "unknown")
+
+
+@pytest.mark.parametrize("case", MESSAGES)
+def test_bad_envelopes(spark, case):
+    text, reason = MESSAGES[case]
+    frame = spark.createDataFrame([(text,)], "value string")
+    result = clean.clean(frame, now=NOW)
+    (bad,) = result.bad.collect()
+    assert bad.error_reason == reason
+    assert bad.raw_data == (text if reason == "bad_envelope" else None)
+    (raw,) = result.raw.collect()
+    assert raw.batch_number == -1
+    assert result.clean.isEmpty()
+
+
+def test_wrong_typed_envelope_is_kept_when_lenient(spark):
+    frame = spark.createDataFrame([(MESSAGES["V02"][0],)], "value string")
+    result = clean.clean(frame, CleanSpec.compat(), NOW)
+    assert result.bad.isEmpty()
+    assert result.clean.first().batch_number is None
+
+
+def test_latest_duplicate_survives(spark):
+    rows = clean.clean(messages(spark), now=NOW).clean.filter("report_id = 'r1'").collect()
+    assert [r.raw_record for r in rows] == [RECORDS["E05"]]
+
+
+def test_survivor_does_not_depend_on_partitioning(spark):
+    frame = messages(spark).union(messages(spark))
+    want = None
+    for width in (1, 3, 11):
+        rows = clean.clean(frame.repartition(width), now=NOW).clean.collect()
+        got = sorted(map(str, rows))
+        want = want or got
+        assert got == want
+
+
+def test_every_row_goes_somewhere(spark):
+    parsed = clean.parse(messages(spark))
+    raw, bad = clean.raw_rows(parsed).count(), clean.bad_rows(parsed).count()
+    assert raw == bad + clean.typed_rows(parsed).count() == len(RECORDS)
+
+
+def test_dedup_is_idempotent(spark):
+    once = clean.clean(messages(spark), now=NOW).clean
+    again = clean.keep_one(once, ["report_id"], clean.survivor_order())
+    assert sorted(map(str, once.collect())) == sorted(map(str, again.collect()))
+
+
+def test_options(spark):
+    late = typed(spark, CleanSpec(parse_then_coalesce=True)).filter(F.col("raw_record") == RECORDS["E03"]).first()
+    assert str(late.receipt_date) == "2024-01-01"
+    blank = typed(spark, CleanSpec(blank_as_null=True)).filter(F.col("raw_record") == RECORDS["E03"]).first()
+    assert blank.patient_sex == "unknown"
+    named = typed(spark, CleanSpec(code_names={"patient_sex": {"2": "female"}}))
+    assert named.filter("report_id = 'r1' and serious").first().patient_sex == "female"
+
+
+def test_offset_is_honoured(spark):
+    text = envelope("{}", 0).replace("+00:00", "+02:00")
+    frame = spark.createDataFrame([(text,)], "value string")
+    row = clean.clean(frame, now=NOW).clean.selectExpr("string(ingestion_timestamp) as t").first()
+    assert row.t == "2023-12-31 22:00:00"
+
+
+def test_each_text_is_parsed_once(spark):
+    plan = clean.clean(messages(spark), now=NOW).clean._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2
+    assert "Python" not in plan
