@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-_CATEGORICAL = (T.StringType, T.BooleanType, T.DateType, T.TimestampType)
+_CATEGORICAL = (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 # Rank error of the sketch that brackets a median: one part in this many.
 _SKETCH_ACCURACY = 10_000
