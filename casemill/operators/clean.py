@@ -32,24 +32,27 @@ def moment(now: Column | datetime.datetime | str | None) -> Column:
     return now if isinstance(now, Column) else F.lit(now).cast("timestamp")
 
 
-def parse(messages: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
-    """Parse the ``value`` text of each message: envelope, then record.
+def open_envelopes(messages: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
+    """Parse the envelope of each message's ``value`` text.
 
-    Gives the envelope columns, the parsed ``record`` struct and
-    ``error_reason``, null for rows to keep. Every later frame derives from this
-    one; persist it when several of them are written.
+    Gives the envelope columns and ``_broken``. In strict mode ``raw_data`` of a
+    broken envelope is the whole message, so that nothing is lost.
     """
     opened = nested.parse_once(messages.select("value"), "value", spec.envelope, "_envelope")
     broken = nested.misfit(F.col("_envelope"))
-    fields = [F.col(f"_envelope.{name}") for name in spec.envelope]
-    if spec.strict:
-        # Keep the message itself where the envelope could not be read.
-        fields = [
-            (F.when(broken, F.col("value")).otherwise(f) if name == "raw_data" else f).alias(name)
-            for name, f in zip(spec.envelope, fields)
-        ]
-    flat = opened.select(broken.alias("_broken"), *fields)
-    parsed = nested.parse_once(flat, "raw_data", spec.record, "record")
+
+    def field(name: str) -> Column:
+        inner = F.col(f"_envelope.{name}")
+        if spec.strict and name == "raw_data":
+            return F.when(broken, F.col("value")).otherwise(inner)
+        return inner
+
+    return opened.select(broken.alias("_broken"), *(field(name).alias(name) for name in spec.envelope))
+
+
+def parse_records(opened: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
+    """Add the parsed ``record`` struct and ``error_reason``, null for rows to keep."""
+    parsed = nested.parse_once(opened, "raw_data", spec.record, "record")
     record = F.col("record")
     if spec.strict:
         reason = (
@@ -62,9 +65,17 @@ def parse(messages: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
     return parsed.select(*spec.envelope, "record", reason.alias("error_reason"))
 
 
-def raw_rows(parsed: DataFrame, spec: CleanSpec = CleanSpec(), now=None) -> DataFrame:
-    """Every message, as it arrived."""
-    rows = parsed.select(*spec.envelope, moment(now).alias("created_at"))
+def parse(messages: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
+    """Envelopes opened and records parsed.
+
+    Clean and bad rows derive from this frame; persist it when both are written.
+    """
+    return parse_records(open_envelopes(messages, spec), spec)
+
+
+def raw_rows(opened: DataFrame, spec: CleanSpec = CleanSpec(), now=None) -> DataFrame:
+    """Every message, as it arrived. Opened envelopes will do; records need no parsing."""
+    rows = opened.select(*spec.envelope, moment(now).alias("created_at"))
     if not spec.strict:
         return rows
     return rows.withColumn("batch_number", F.coalesce("batch_number", F.lit(NO_BATCH)))
@@ -130,15 +141,12 @@ def clean_rows(parsed: DataFrame, spec: CleanSpec = CleanSpec(), now=None) -> Da
     return keep_one(typed_rows(parsed, spec, now), ["report_id"], survivor_order())
 
 
-def split(parsed: DataFrame, spec: CleanSpec = CleanSpec(), now=None) -> CleanResult:
-    """The three tables a parsed frame feeds."""
+def clean(messages: DataFrame, spec: CleanSpec = CleanSpec(), now=None) -> CleanResult:
+    """Clean a frame of messages. Lazy: nothing runs until a part is used."""
+    opened = open_envelopes(messages, spec)
+    parsed = parse_records(opened, spec)
     return CleanResult(
-        raw=raw_rows(parsed, spec, now),
+        raw=raw_rows(opened, spec, now),
         clean=clean_rows(parsed, spec, now),
         bad=bad_rows(parsed, spec, now),
     )
-
-
-def clean(messages: DataFrame, spec: CleanSpec = CleanSpec(), now=None) -> CleanResult:
-    """Clean a frame of messages. Lazy: nothing runs until a part is used."""
-    return split(parse(messages, spec), spec, now)

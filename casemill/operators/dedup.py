@@ -38,7 +38,7 @@ def new_keys_only(
     """
     stored = stored.select(key)
     keys = batch.select(key)
-    if keys.limit(broadcast_keys + 1).count() <= broadcast_keys:
+    if keys.count() <= broadcast_keys:
         hits = stored.join(F.broadcast(keys), key, "left_semi").distinct()
         return batch.join(hits, key, "left_anti")
     return batch.join(stored.hint("shuffle_merge"), key, "left_anti")

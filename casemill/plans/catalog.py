@@ -275,7 +275,7 @@ def new_keys_only(spark, sf_dir):
 
 @query
 def bronze_raw(spark, sf_dir):
-    rows = cleaning.raw_rows(cleaning.parse(messages(spark, sf_dir)), now=NOW)
+    rows = cleaning.raw_rows(cleaning.open_envelopes(messages(spark, sf_dir)), now=NOW)
     return _comparable(rows.withColumn("raw_data", F.md5("raw_data")))
 
 
@@ -554,18 +554,17 @@ def csv_roundtrip(spark, sf_dir):
     return spark.read.option("header", True).schema("event_id BIGINT, event_type STRING, value DOUBLE").csv(path)
 
 
-def _landed(spark, sf_dir, cycles: int = 1, per_batch: int | None = None) -> tuple[StreamSpec, Zones]:
-    """All messages as files of a watched folder, once per cycle."""
+def _streamed(spark, sf_dir, cycles: int = 1, **options) -> Zones:
+    """All messages sent and cleaned as a stream; later cycles re-send them and
+    go through a query restarted on the same checkpoint."""
     base = scratch_folder(spark, "stream")
+    source, zones = StreamSpec(kind="files", path=f"{base}/inbox"), Zones(f"{base}/zones")
     for cycle in range(cycles):
         sent = messages(spark, sf_dir, batch_shift=cycle).select(F.col("value").cast("binary"))
-        sent.write.mode("append").parquet(f"{base}/inbox")
-    return StreamSpec(kind="files", path=f"{base}/inbox", max_per_trigger=per_batch), Zones(f"{base}/zones")
-
-
-def _finish(streams) -> None:
-    for stream in streams:
-        stream.awaitTermination()
+        sent.write.mode("append").parquet(source.path)
+        for stream in run_clean_stream(spark, source, zones, now=NOW, **options):
+            stream.awaitTermination()
+    return zones
 
 
 def _silver_ids(spark, zones: Zones) -> DataFrame:
@@ -575,40 +574,37 @@ def _silver_ids(spark, zones: Zones) -> DataFrame:
 @query
 def stream_clean_equals_batch(spark, sf_dir):
     """One micro-batch over everything: the same rows as ``silver_clean``."""
-    source, zones = _landed(spark, sf_dir)
-    _finish(run_clean_stream(spark, source, zones, now=NOW))
-    rows = jobs.read_silver(spark, zones)
+    rows = jobs.read_silver(spark, _streamed(spark, sf_dir))
     return _comparable(rows.withColumn("raw_record", F.md5("raw_record")))
 
 
 @query
 def stream_bronze(spark, sf_dir):
-    source, zones = _landed(spark, sf_dir)
-    _finish(run_clean_stream(spark, source, zones, dedup="per_batch", now=NOW))
+    zones = _streamed(spark, sf_dir, dedup="per_batch")
     rows = read_table(spark, zones.bronze, schemas.RAW).select(*schemas.RAW)
     return _comparable(rows.withColumn("raw_data", F.md5("raw_data")))
 
 
+@query
+def stream_dedup_per_batch(spark, sf_dir):
+    """The same reports sent in two cycles: silver holds every id once per cycle."""
+    return _silver_ids(spark, _streamed(spark, sf_dir, cycles=2, dedup="per_batch"))
+
+
 @query
 def stream_dedup_global(spark, sf_dir):
-    """The same reports sent in two cycles, cleaned in two micro-batches: every id once."""
-    source, zones = _landed(spark, sf_dir, cycles=2, per_batch=1)
-    _finish(run_clean_stream(spark, source, zones, now=NOW))
-    return _silver_ids(spark, zones)
+    """The same reports sent in two cycles: silver holds every id once."""
+    return _silver_ids(spark, _streamed(spark, sf_dir, cycles=2, dedup="global"))
 
 
 @query
 def stream_dedup_state(spark, sf_dir):
-    source, zones = _landed(spark, sf_dir, cycles=2, per_batch=1)
-    _finish(run_clean_stream(spark, source, zones, dedup="state", now=NOW))
-    return _silver_ids(spark, zones)
+    return _silver_ids(spark, _streamed(spark, sf_dir, cycles=2, dedup="state"))
 
 
 @query
 def stream_dedup_watermark(spark, sf_dir):
-    source, zones = _landed(spark, sf_dir, cycles=2, per_batch=1)
-    _finish(run_clean_stream(spark, source, zones, dedup="watermark", delay="40 days", now=NOW))
-    return _silver_ids(spark, zones)
+    return _silver_ids(spark, _streamed(spark, sf_dir, cycles=2, dedup="watermark", delay="40 days"))
 
 
 @query
@@ -629,8 +625,10 @@ def stream_replay(spark, sf_dir):
 @query
 def run_everything(spark, sf_dir):
     """Stream, score and report through the stored zones."""
-    source, zones = _landed(spark, sf_dir)
-    rows = jobs.run_all(spark, source, zones, version=VERSION, as_of=AS_OF, now=NOW)
+    base = scratch_folder(spark, "everything")
+    messages(spark, sf_dir).select(F.col("value").cast("binary")).write.parquet(f"{base}/inbox")
+    source = StreamSpec(kind="files", path=f"{base}/inbox")
+    rows = jobs.run_all(spark, source, Zones(base), version=VERSION, as_of=AS_OF, now=NOW)
     return _comparable(_rounded(rows, "average_probability"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from casemill import schemas
 from casemill.functions import values
 from casemill.operators import score
+from casemill.sources import spread
 
 SOURCE = "events feed"
 NOW = "2024-06-01 00:00:00"
@@ -85,7 +86,8 @@ def wrapped_reports(spark: SparkSession, sf_dir: str, batch_shift: int = 0) -> D
     """
     batch = F.dayofmonth("ts") + batch_shift
     given = F.get_json_object("record", "$.safetyreportid")
-    return reports(table(spark, sf_dir, "events")).select(
+    # The sample is one row group; real feeds arrive in many splits.
+    return reports(spread(table(spark, sf_dir, "events"))).select(
         "event_type",
         "k",
         values.message_key(given, batch, F.col("event_id") + 1).alias("key"),

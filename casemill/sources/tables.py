@@ -44,3 +44,14 @@ def rows_table(spark: SparkSession, rows: Sequence[tuple], contract: Mapping[str
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed page responses, one file each: ``value`` and the file's path."""
     return spark.read.text(path, wholetext=True).selectExpr("value", "_metadata.file_path AS file")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A frame of fewer splits than the session has cores, dealt out over all cores.
+
+    For input that arrives in a few unsplittable pieces (one topic partition, one
+    row group) ahead of expensive parsing. A frame that is wide enough already,
+    as any large one is, passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -13,7 +13,7 @@ from casemill import schemas, sinks
 from casemill.layout import Zones
 from casemill.operators import clean as ops
 from casemill.operators.dedup import BROADCAST_KEYS, keep_one, new_keys_only
-from casemill.sources import read_if_present, stream_source
+from casemill.sources import read_if_present, spread, stream_source
 from casemill.spec import CleanSpec, DedupMode, StreamSpec
 
 # Columns the batch folders add to the silver contract.
@@ -74,14 +74,16 @@ def write_batch(
     Writing the same (run, batch) again replaces its rows in every zone, so a
     retried batch changes nothing. ``keep`` holds the parsed rows on the
     executors while the zones are written; turn it off for a frame too large to
-    hold, which is then parsed once per zone.
+    hold. That one is parsed once per zone, and its raw rows are written from
+    where they are read instead of being shuffled into fewer files.
     """
-    parsed = ops.parse(messages, spec)
+    opened = ops.open_envelopes(spread(messages), spec)
+    parsed = ops.parse_records(opened, spec)
     if keep:
-        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        opened = parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        raw = ops.raw_rows(parsed, spec, now)
-        sinks.replace_batch(raw, zones.bronze, run_id, batch_id, "batch_number", gather=True)
+        raw = ops.raw_rows(opened, spec, now)
+        sinks.replace_batch(raw, zones.bronze, run_id, batch_id, "batch_number", gather=keep)
         bad = ops.bad_rows(parsed, spec, now)
         sinks.replace_batch_if_nonempty(bad, zones.quarantine, run_id, batch_id)
         if silver:
