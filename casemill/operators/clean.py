@@ -128,11 +128,15 @@ def typed_rows(parsed: DataFrame, spec: CleanSpec = CleanSpec(), now=None) -> Da
 
 
 def survivor_order() -> list[Column]:
-    """Which duplicate stays: the latest fetched, then the highest batch, then by content."""
+    """Which duplicate stays: the latest fetched, then the highest batch, then by content.
+
+    The text itself breaks a tie, not a hash of it: sorting then hashes nothing
+    and looks at the text only where the first two agree.
+    """
     return [
         F.desc_nulls_last("ingestion_timestamp"),
         F.desc_nulls_last("batch_number"),
-        F.desc(F.md5("raw_record")),
+        F.desc("raw_record"),
     ]
 
 

@@ -30,12 +30,16 @@ def explode_pages(
     parsed = nested.parse_once(pages, body, _PAGE, "_page")
     results = F.col("_page.results")
     if stop_at_empty:
-        keys = [cycle] if cycle else []
         empty = F.coalesce(F.size(results), F.lit(0)) < 1
-        # One row per cycle, from a map-side minimum; no page text is shuffled for it.
-        ends = parsed.groupBy(*keys).agg(F.min(F.when(empty, F.col(page))).alias("_end"))
-        parsed = parsed.join(ends, keys) if keys else parsed.crossJoin(F.broadcast(ends))
-        parsed = parsed.filter(F.col("_end").isNull() | (F.col(page) < F.col("_end"))).drop("_end")
+        end = F.min(F.when(empty, F.col(page))).alias("_end")
+        if cycle is None:
+            stop = parsed.agg(end).scalar()
+            parsed = parsed.filter(stop.isNull() | (F.col(page) < stop))
+        else:
+            # One row per cycle, minimised map-side; a cycle holding most pages is
+            # split by the adaptive skew join.
+            ends = parsed.groupBy(cycle).agg(end)
+            parsed = parsed.join(ends, cycle).filter("_end IS NULL OR `{}` < _end".format(page)).drop("_end")
     kept = [name for name in pages.columns if name != body]
     return parsed.select(*kept, F.posexplode("_page.results").alias("position", "record")).withColumn(
         "record_offset", F.col(page) * page_size + F.col("position")

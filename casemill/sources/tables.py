@@ -51,7 +51,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     For input that arrives in a few unsplittable pieces (one topic partition, one
     row group) ahead of expensive parsing. A frame that is wide enough already,
-    as any large one is, passes through without a shuffle.
+    as any large one is, passes through without a shuffle. Meant for plain scans:
+    asking a frame that already shuffles for its width would run that shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

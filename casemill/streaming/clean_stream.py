@@ -77,7 +77,7 @@ def write_batch(
     hold. That one is parsed once per zone, and its raw rows are written from
     where they are read instead of being shuffled into fewer files.
     """
-    opened = ops.open_envelopes(spread(messages), spec)
+    opened = ops.open_envelopes(messages, spec)
     parsed = ops.parse_records(opened, spec)
     if keep:
         opened = parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
@@ -151,7 +151,8 @@ def run_clean_stream(
       bronze).
 
     The two stateful modes need a second query, as state can only drop rows for
-    silver and must not drop them for bronze. ``trigger`` defaults to working
+    silver and must not drop them for bronze. Give them a RocksDB state store
+    (``session.build`` does), so that ids spill to disk. ``trigger`` defaults to working
     through what is there and stopping; a service passes ``processingTime``.
     """
     trigger = dict(trigger or {"availableNow": True})
@@ -159,7 +160,7 @@ def run_clean_stream(
     stateful = dedup in ("state", "watermark")
 
     def zone_batch(batch: DataFrame, run_id: str, batch_id: int) -> None:
-        write_batch(batch, zones, run_id, batch_id, spec, dedup=dedup, now=now, silver=not stateful)
+        write_batch(spread(batch), zones, run_id, batch_id, spec, dedup=dedup, now=now, silver=not stateful)
 
     queries = [_start(messages, f"{zones.checkpoints}/{name}", trigger, zone_batch)]
     if stateful:
@@ -176,7 +177,7 @@ def run_clean_stream(
             typed = typed.dropDuplicates(["report_id"])
 
         def silver_batch(batch: DataFrame, run_id: str, batch_id: int) -> None:
-            sinks.replace_batch(batch, zones.silver, run_id, batch_id, "batch_number")
+            sinks.replace_batch(batch, zones.silver, run_id, batch_id, "batch_number", gather=True)
 
         queries.append(_start(typed, f"{zones.checkpoints}/{name}_silver", trigger, silver_batch))
     return queries
