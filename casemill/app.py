@@ -13,6 +13,7 @@ import argparse
 import pathlib
 
 from casemill import CleanSpec, JdbcSpec, StreamSpec, Zones, session
+from casemill.operators import model
 from casemill.plans import jobs
 from casemill.streaming import run_clean_stream
 
@@ -35,6 +36,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     gold = parser.add_argument_group("scores and reports")
     gold.add_argument("--version")
     gold.add_argument("--as-of")
+    gold.add_argument("--tune", action="store_true", help="search model parameters")
     gold.add_argument("--jdbc-url")
     gold.add_argument("--jdbc-user", default="")
     gold.add_argument("--jdbc-password-file")
@@ -73,7 +75,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "report":
         jobs.run_report(spark, zones, as_of=args.as_of, jdbc=warehouse)
     elif args.job == "train":
-        jobs.run_training(spark, zones, version=args.version)
+        jobs.run_training(spark, zones, version=args.version, grids=model.GRIDS if args.tune else None)
     else:
         jobs.run_all(
             spark, _source(args), zones, spec, version=args.version, as_of=args.as_of, jdbc=warehouse

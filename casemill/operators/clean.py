@@ -137,6 +137,8 @@ def survivor_order() -> list[Column]:
         F.desc_nulls_last("ingestion_timestamp"),
         F.desc_nulls_last("batch_number"),
         F.desc("raw_record"),
+        F.asc_nulls_last("source_api"),
+        F.asc_nulls_last("api_endpoint"),
     ]
 
 

@@ -41,6 +41,13 @@ class ModelSpec:
     hash_width: int = 1 << 16
 
 
+# Parameter values to search; they include the published best ones.
+GRIDS = {
+    "logistic_regression": {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.7]},
+    "random_forest": {"numTrees": [50, 100], "maxDepth": [5, 8]},
+}
+
+
 def split(df: DataFrame, spec: ModelSpec = ModelSpec()) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by a hash of the key.
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from casemill import CleanSpec, RuleSpec, StreamSpec, Zones, schemas, sinks
@@ -266,11 +268,10 @@ def dedup_keys(spark, sf_dir):
 
 @query
 def new_keys_only(spark, sf_dir):
-    """Users with a purchase over 100 and no error over 100."""
-    events = table(spark, sf_dir, "events").filter("value > 100")
-    batch = dedup.keep_any(events.filter("event_type = 'purchase'").select("user_id"), ["user_id"])
-    stored = events.filter("event_type = 'error'").select("user_id")
-    return dedup.new_keys_only(batch, stored, "user_id")
+    """Orders no line refers to: a batch of keys against the stored ones."""
+    batch = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    stored = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return dedup.new_keys_only(batch, stored, "o_orderkey")
 
 
 @query
@@ -641,13 +642,44 @@ def hash_split(spark, sf_dir):
     return train.select("doc_id")
 
 
-@query
-def model_metrics(spark, sf_dir):
-    """Both learners trained and tested on whether a labelled document is good."""
+def _quality_rows(spark, sf_dir) -> tuple[DataFrame, model.ModelSpec]:
+    """Labelled documents, and what to learn from them."""
     spec = model.ModelSpec(
         key="doc_id", label="quality", numeric=("n_chars",), categorical=("lang", "source"), trees=20, depth=5
     )
     facts = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    rows = table(spark, sf_dir, "labels").select("doc_id", "quality").join(facts, "doc_id")
+    return table(spark, sf_dir, "labels").select("doc_id", "quality").join(facts, "doc_id"), spec
+
+
+@query
+def model_features(spark, sf_dir):
+    """The fitted feature stages: filled numbers, category indexes, one-hot positions."""
+    rows, spec = _quality_rows(spark, sf_dir)
+    prepared = model.prepare(rows, spec)
+    features = Pipeline(stages=model.feature_stages(prepared, spec)).fit(prepared).transform(prepared)
+    return features.select(
+        "doc_id",
+        "n_chars_filled",
+        "lang_index",
+        (F.array_position(vector_to_array("lang_hot"), 1.0) - 1).cast("double").alias("lang_hot_position"),
+    )
+
+
+@query
+def model_metrics(spark, sf_dir):
+    """Both learners trained and tested on whether a labelled document is good."""
+    rows, spec = _quality_rows(spark, sf_dir)
     train, test = model.split(rows, spec)
     return model.evaluate_all(model.train(train, spec), test, VERSION, spec)
+
+
+@query
+def model_best_scores(spark, sf_dir):
+    """The better learner, tuned, saved, loaded and applied to every labelled document."""
+    rows, spec = _quality_rows(spark, sf_dir)
+    train, test = model.split(rows, spec)
+    models = model.train(train, spec, {"logistic_regression": {"regParam": [0.0, 0.01]}})
+    best = model.select_best(model.evaluate_all(models, test, VERSION, spec))
+    path = scratch_folder(spark, "model")
+    model.save(models[best], path)
+    return _comparable(model.predict(model.load(path), rows, best, VERSION, spec, NOW))

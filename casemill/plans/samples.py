@@ -15,7 +15,7 @@ from casemill.operators import score
 from casemill.sources import spread
 
 SOURCE = "events feed"
-NOW = "2024-06-01 00:00:00"
+NOW = "2024-06-01T00:00:00+00:00"
 AS_OF = "2024-06-01"
 VERSION = "20240601000000"
 

@@ -14,7 +14,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark"
     " labels conversations"
 ).split()
-NO_SQL = {"model_metrics"}
+NO_SQL = {"model_metrics", "model_best_scores"}
 
 
 @pytest.fixture(scope="module")
@@ -37,11 +37,16 @@ def canonical(names, rows):
     return sorted(names), sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+
+
 @pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
 def test_query_matches_sql(spark, duck, name):
     frame = entry_point.queries()[name](spark, SF_DIR)
     cursor = duck.execute(entry_point.oracle_sql()[name])
     want = canonical([c[0] for c in cursor.description], cursor.fetchall())
+    types = {c[0]: str(c[1]) for c in cursor.description}
+    assert {n: SAME_TYPE[t] for n, t in frame.dtypes} == types
     got = canonical(frame.columns, frame.collect())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])

@@ -33,6 +33,21 @@ def test_gathered_write_makes_few_files(spark, tmp_path):
     assert files("gathered") <= 12
 
 
+def test_hot_partition_value_is_split_over_tasks(spark, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        rows = spark.range(400_000, numPartitions=16).select(
+            F.xxhash64("id").alias("x"), F.when(F.col("id") < 10, 1).otherwise(0).alias("batch_number")
+        )
+        sinks.append_partitioned(rows, str(tmp_path / "t"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    hot = list((tmp_path / "t" / "batch_number=0").glob("*.parquet"))
+    assert len(hot) > 4
+    assert max(f.stat().st_size for f in hot) < 4 * sum(f.stat().st_size for f in hot) / len(hot)
+
+
 def test_append_if_nonempty(spark, tmp_path):
     path = str(tmp_path / "q")
     assert not sinks.append_if_nonempty(numbered(spark, 0), path)
