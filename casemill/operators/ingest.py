@@ -37,9 +37,10 @@ def explode_pages(
             parsed = parsed.filter(stop.isNull() | (F.col(page) < stop))
         else:
             # One row per cycle, minimised map-side; a cycle holding most pages is
-            # split by the adaptive skew join.
-            ends = parsed.groupBy(cycle).agg(end)
-            parsed = parsed.join(ends, cycle).filter("_end IS NULL OR `{}` < _end".format(page)).drop("_end")
+            # split by the adaptive skew join. Pages without a cycle are one, too.
+            ends = parsed.groupBy(F.col(cycle).alias("_cycle")).agg(end)
+            parsed = parsed.join(ends, F.col(cycle).eqNullSafe(F.col("_cycle")))
+            parsed = parsed.filter(F.col("_end").isNull() | (F.col(page) < F.col("_end")))
     kept = [name for name in pages.columns if name != body]
     return parsed.select(*kept, F.posexplode("_page.results").alias("position", "record")).withColumn(
         "record_offset", F.col(page) * page_size + F.col("position")

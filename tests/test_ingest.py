@@ -26,6 +26,8 @@ def test_stop_at_the_first_empty_page(spark):
     assert ingest.explode_pages(pages(spark, rows), stop_at_empty=True).count() == 2
     cycles = pages(spark, rows).withColumn("cycle", (F.col("page") > 3).cast("int"))
     assert ingest.explode_pages(cycles, cycle="cycle", stop_at_empty=True).count() == 3
+    unnamed = cycles.withColumn("cycle", F.when(F.col("cycle") == 0, 0))
+    assert ingest.explode_pages(unnamed, cycle="cycle", stop_at_empty=True).count() == 3
 
 
 def test_envelopes_and_messages(spark):
