@@ -30,7 +30,7 @@ from casemill.plans.samples import (
     table,
     wrapped_reports,
 )
-from casemill.sources import read_parquet_paths, read_table
+from casemill.sources import read_parquet_paths, read_table, spread
 from casemill.streaming import run_clean_stream, write_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,14 +83,14 @@ def read_many_paths(spark, sf_dir):
 
 @query
 def json_parse_field(spark, sf_dir):
-    parsed = nested.parse_once(table(spark, sf_dir, "events"), "props", {"k": "int"}, "parsed")
+    parsed = nested.parse_once(spread(table(spark, sf_dir, "events")), "props", {"k": "int"}, "parsed")
     return parsed.select("event_id", F.col("parsed.k").alias("k"))
 
 
 @query
 def envelope_roundtrip(spark, sf_dir):
     record = {"event_id": "bigint", "event_type": "string", "value": "double"}
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     records = events.select(
         F.to_json(F.struct(*record)).alias("record"),
         F.dayofmonth("ts").alias("batch_number"),
@@ -140,7 +140,8 @@ def page_explode(spark, sf_dir):
     body = F.when(F.col("lang") == "fr", F.to_json(F.struct(F.lit(1).alias("meta")))).otherwise(
         F.to_json(F.struct(lines.alias("results")))
     )
-    pages = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page"), body.alias("value"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    pages = documents.select(F.col("doc_id").alias("page"), body.alias("value"))
     records = ingest.explode_pages(pages, page_size=100)
     line = nested.json_struct(F.col("record"), {"line": "string"}).getField("line")
     return records.select("page", "position", "record_offset", F.md5(line).alias("line_md5"))

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from casemill import StreamSpec, schemas
+from casemill import JdbcSpec, StreamSpec, schemas, sinks
 from casemill.operators import evaluate, model
 from casemill.plans import jobs
 from casemill.sources import read_table
@@ -40,6 +40,29 @@ def test_reruns_replace_and_history_stays(spark, zones):
     assert stored.count() == 2 * last.count()
 
 
+def test_warehouse_loads(spark, zones, monkeypatch):
+    """Snapshots are replaced in place, metrics are added; no connection is made here."""
+    loads = []
+
+    def recorded(df, spec, table, mode="append", extra=None):
+        shaped = schemas.conform(df, schemas.WAREHOUSE[table])
+        loads.append((table, mode, shaped.count(), dict(shaped.dtypes) == schemas.WAREHOUSE[table]))
+
+    monkeypatch.setattr(sinks, "jdbc_write", recorded)
+    write_batch(messages(spark), zones, "run-a", 0, now=NOW)
+    warehouse = JdbcSpec("jdbc:postgresql://db/w", "u", "p")
+    jobs.run_score(spark, zones, version="v1", now=NOW, jdbc=warehouse)
+    jobs.run_report(spark, zones, as_of="2024-06-01", jdbc=warehouse)
+    silver = jobs.read_silver(spark, zones).count()
+    summary_rows = read_table(spark, zones.summary).count()
+    assert loads == [
+        ("cleaned_patients", "overwrite", silver, True),
+        ("patient_predictions", "overwrite", silver, True),
+        ("model_evaluation", "append", 4, True),
+        ("risk_summary", "overwrite", summary_rows, True),
+    ]
+
+
 def training_rows(spark, n=400):
     """The product decides the label, but for a few rows; one numeric column is empty."""
     i = F.col("id")
