@@ -49,7 +49,7 @@ def quality(
     if key is not None:
         rates["duplicate_key_rate"] = 1 - F.count_distinct(key) / F.count(key)
     if bad is not None:
-        rates["bad_record_rate"] = F.avg(bad.cast("double"))
+        rates["bad_record_rate"] = F.avg(F.coalesce(bad, F.lit(False)).cast("double"))
     wide = df.agg(*(rate.alias(name) for name, rate in rates.items()))
     return wide.unpivot([], list(rates), "measure", "rate")
 

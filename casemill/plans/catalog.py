@@ -159,6 +159,31 @@ def page_explode_until_empty(spark, sf_dir):
     return records.select("user_id", "page", "position", "record")
 
 
+@query
+def pages_to_messages(spark, sf_dir):
+    """Landed pages to keyed messages and back: one event per page, a cycle per day."""
+    given = F.when(F.col("event_type") == "click", "").when(
+        F.col("event_type") != "view", F.concat(F.lit("e-"), F.col("event_id").cast("string"))
+    )
+    record = F.struct(given.alias("safetyreportid"), F.col("event_type").alias("kind"))
+    pages = spread(table(spark, sf_dir, "events")).select(
+        F.dayofmonth("ts").alias("batch_number"),
+        F.col("event_id").alias("page"),
+        F.to_json(F.struct(F.array(record).alias("results"))).alias("value"),
+    )
+    wrapped = ingest.envelopes(
+        ingest.explode_pages(pages, page_size=100),
+        source=SOURCE,
+        endpoint="feed",
+        fetched_at=F.lit(NOW).cast("timestamp"),
+    )
+    sent = ingest.to_messages(wrapped)
+    body = nested.json_struct(F.col("value").cast("string"), schemas.ENVELOPE)
+    return sent.select(F.col("key").cast("string").alias("key"), body.alias("body")).select(
+        "key", "body.batch_number", "body.ingestion_timestamp", "body.raw_data"
+    )
+
+
 @query
 def message_key(spark, sf_dir):
     events = table(spark, sf_dir, "events")

@@ -179,6 +179,20 @@ def test_exact_median(spark, monkeypatch, values, limit):
     assert profile.exact_medians(df, ["v"]) == {"v": middle}
 
 
+def test_distinct(spark):
+    df = spark.range(3000).select((F.col("id") % 500).alias("k"))
+    assert profile.distinct(df, "k").first()[0] == 500
+    assert profile.distinct(df, "k", approximate=True).first()[0] == pytest.approx(500, rel=0.1)
+
+
+def test_quality(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", None), (None, 4)], "k string, v int")
+    got = {r.measure: r.rate for r in profile.quality(df, ["k", "v"], F.col("k"), F.col("v") > 3).collect()}
+    assert got == {
+        "null_rate_k": 0.25, "null_rate_v": 0.5, "duplicate_key_rate": pytest.approx(1 / 3), "bad_record_rate": 0.25,
+    }
+
+
 def test_median_of_nothing(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
     assert profile.exact_medians(df, ["a", "b"]) == {"a": None, "b": 2.0}
