@@ -19,20 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm.text import Cache, Splitter, slices
+from casemill.llm.text import Cache, Splitter, byte_letters, slices, spelling
 
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 NORMAL, UNKNOWN, BPE = 1, 2, 2  # the model format's enumeration values
 
 
-@lru_cache(1)
-def spelling() -> list[str]:
-    """A visible character for each byte: itself where printable, else one from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = iter(range(0x100, 0x200))
-    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
-
-
 def ranks_of(path: str) -> list[bytes]:
     """The token of each rank; ranks must run from 0 without a gap."""
     with open(path, "rb") as file:
@@ -94,7 +86,7 @@ class Codec:
 
         self.tokens = ranks_of(ranks)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise(self.tokens))
-        self.letters = str.maketrans({chr(b): c for b, c in enumerate(spelling())})
+        self.letters = byte_letters()
         self.split = Splitter(pattern, kind_in_tiktoken())
         values = {c: b for b, c in enumerate(spelling())}
         self.spelt = [
@@ -116,6 +108,12 @@ class Codec:
         return b"".join(map(self.spelt.__getitem__, ids))
 
 
+@lru_cache(1)
+def codec_of(ranks: str, pattern: str) -> Codec:
+    """One codec per worker process, so that its cache outlives a task."""
+    return Codec(ranks, pattern)
+
+
 def encode_decode(
     docs: DataFrame, ranks: str, pattern: str, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
@@ -125,7 +123,7 @@ def encode_decode(
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(ranks, pattern)
+        codec = codec_of(ranks, pattern)
         digits = [str(i) for i in range(len(codec.tokens))]
         sha = lambda data: hashlib.sha256(data).hexdigest()
         for batch in slices(batches, 64):

@@ -11,16 +11,19 @@ groups of bounded size, and looks up the place of each rank.
 from __future__ import annotations
 
 import math
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casemill.llm.text import Cache, slices, stored, words_of
+from casemill.llm.text import Cache, Splitter, byte_letters, kind_in_tokenizers, slices, stored
 
 GROUP = 512  # pieces ranked in one group
 PIECES = (
@@ -41,32 +44,65 @@ class Place:
     offset: int
 
 
+class Ids:
+    """Ids of texts, as bytes, by the tokenizer's own parts; each distinct pre-token is merged once."""
+
+    # The tokenizer's cutting pattern.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+    _FAR = regex.compile(r"[^\x00-\u024f]")  # beyond, lower case can depend on what follows
+
+    def __init__(self, tokenizer: str):
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(tokenizer)
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.split = Splitter(self.PATTERN, kind_in_tokenizers())
+        self.letters = byte_letters()
+        self.parts = Cache(self._merge)
+
+    def _merge(self, parts: list[str]) -> list[bytes]:
+        merge = self.library.model.tokenize
+        spelt = [p.encode().decode("latin-1").translate(self.letters) for p in parts]
+        return [array("I", [t.id for t in merge(p)]).tobytes() for p in spelt]
+
+    def _normal(self, text: str) -> str:
+        if text.isascii():
+            return text.lower()
+        if self._FAR.search(text):
+            return self.library.normalizer.normalize_str(text)
+        return unicodedata.normalize("NFC", text).lower()
+
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+        cut = [None if any(s in t for s in self.special) else self.split(self._normal(t)) for t in texts]
+        self.parts.need({p for parts in cut if parts for p in parts})
+        for text, parts in zip(texts, cut, strict=True):
+            if parts is None:  # special strings count as such: left to the library
+                yield array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+            else:
+                yield b"".join(map(self.parts.__getitem__, parts))
+
+
+@lru_cache(1)
+def ids_by(tokenizer: str) -> Ids:
+    """One encoder per worker process, so that its cache outlives a task."""
+    return Ids(tokenizer)
+
+
 def token_pieces(
     docs: DataFrame, tokenizer: str, end_id: int, capacity: int, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
     """One row per piece of at most ``capacity`` ids of each document, with a row number.
 
-    The tokenizer drops white space and never joins over it, so the ids of a text are
-    those of its words, each of which is encoded once per task. A null or empty text
-    is the end id alone. Null and repeated ids are rows like any other.
+    A null or empty text is the end id alone. Null and repeated ids are rows like any other.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(tokenizer)
-
-        def encode(words: list[bytes]) -> list[bytes]:
-            found = library.encode_batch([w.decode() for w in words], add_special_tokens=False)
-            return [np.asarray(e.ids, "<u4").tobytes() for e in found]
-
-        ids, end = Cache(encode), np.asarray([end_id], "<u4").tobytes()
+        encode, end = ids_by(tokenizer), array("I", [end_id]).tobytes()
         for batch in slices(batches):
             columns: list[list] = [[], [], [], [], []]
-            texts = [words_of(t) for t in batch.column(1).to_pylist()]
-            ids.need(set().union(*texts))
-            for doc, words in zip(batch.column(0).to_pylist(), texts, strict=True):
-                packed = b"".join([*map(ids.__getitem__, words), end])
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
+                packed = ids + end
                 for piece, at in enumerate(range(0, len(packed), 4 * capacity)):
                     part = packed[at : at + 4 * capacity]
                     row = (doc, piece, at // 4, len(part) // 4, zlib.crc32(part))

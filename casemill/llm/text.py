@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from casemill.layout import scratch_folder
 
 SLICE_ROWS = 256  # rows turned into Python objects at a time
-CACHE_BYTES = 48 << 20  # what a task's cache of pieces may hold, about
+CACHE_BYTES = 96 << 20  # what a task's cache of pieces may hold, about
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
@@ -54,7 +55,7 @@ class Cache(dict):
             self.held = 0
             missing = keep
         self.update(zip(missing, self.make(missing), strict=True))
-        self.held += sum(self.size(k) + 120 for k in missing)
+        self.held += sum(self.size(k) + 200 for k in missing)  # two objects and a table entry
 
 
 class Splitter:
@@ -86,3 +87,27 @@ class _Alike(dict):
         char = chr(point)
         self[point] = char if point <= 0x2FF else self.STAND_IN[self.kind(char)]
         return self[point]
+
+
+def kind_in_tokenizers() -> Callable[[str], str]:
+    """The class of a character in the Unicode tables of the library whose counts are to be met."""
+    from tokenizers import Regex, pre_tokenizers
+
+    probes = [
+        (name, pre_tokenizers.Split(Regex(p), "removed"))
+        for name, p in (("L", r"\p{L}"), ("N", r"\p{N}"), ("S", r"\s"))
+    ]
+    return lambda char: next((name for name, probe in probes if not probe.pre_tokenize_str(char)), "O")
+
+
+@lru_cache(1)
+def spelling() -> list[str]:
+    """A visible character for each byte: itself where printable, else one from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+
+def byte_letters() -> dict[int, str]:
+    """A translation from bytes, read as latin-1, to their visible characters."""
+    return str.maketrans({chr(b): c for b, c in enumerate(spelling())})

@@ -10,30 +10,19 @@ ones that would make hot join keys.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm.text import Splitter, slices, stored
+from casemill.llm.text import Splitter, kind_in_tokenizers, slices, stored
 
 HEAD = 1 << 17  # pre-tokens at most, each of at most HEAD_BYTES, that are looked up in a broadcast table
 HEAD_BYTES = 64
 FLUSH = 200_000  # distinct pre-tokens after which a task hands its counts on
 
 
-def kind_in_tokenizers() -> Callable[[str], str]:
-    """The class of a character in the Unicode tables of the library whose counts are to be met."""
-    from tokenizers import Regex, pre_tokenizers
-
-    probes = [
-        (name, pre_tokenizers.Split(Regex(p), "removed"))
-        for name, p in (("L", r"\p{L}"), ("N", r"\p{N}"), ("S", r"\s"))
-    ]
-    return lambda char: next((name for name, probe in probes if not probe.pre_tokenize_str(char)), "O")
-
-
 class PreTokens:
     """Cuts a text at the tokenizer's special strings, then by the pattern."""
 

@@ -77,6 +77,16 @@ def test_plan_places_everything_once(seed):
         assert sum(3 * n > 100 for _, n in parts) <= 2
 
 
+def test_ids_on_every_character():
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    ids = packing.Ids(P.path("word_bpe_49k.json"))
+    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
+    texts = ["".join(f"a{chr(p)}1 {chr(p)}{chr(p)}b" for p in points[i : i + 512]) for i in range(0, 0x30000, 512)]
+    texts += [t or "" for t in AWKWARD]
+    for text, found in zip(texts, ids(texts), strict=True):
+        assert np.frombuffer(found, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def reference_codec():
     with open(P.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
