@@ -11,6 +11,7 @@ groups of bounded size, and looks up the place of each rank.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 import zlib
 from array import array
@@ -19,7 +20,6 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,7 +49,7 @@ class Ids:
 
     # The tokenizer's cutting pattern.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
-    _FAR = regex.compile(r"[^\x00-\u024f]")  # beyond, lower case can depend on what follows
+    _FAR = re.compile("[^\x00-\u024f]")  # beyond, lower case can depend on what follows
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer

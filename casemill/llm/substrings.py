@@ -234,7 +234,8 @@ def repeated_words(
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
     cut = stored(_cut_pass(rows, width, grain), "minimisers")
     each = cut.select("doc_id", "hash", F.posexplode("minimisers").alias("number", "minimiser"))
-    twice = each.groupBy("minimiser").count().where("count > 1").select("minimiser")
+    # A table of its own: the join then deals both sides itself and may split a frequent minimiser.
+    twice = stored(each.groupBy("minimiser").count().where("count > 1").select("minimiser"), "repeated")
     flagged = each.join(twice, "minimiser").groupBy("doc_id", "hash").agg(F.collect_set("number").alias("numbers"))
     same: Column = F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("r.hash") == F.col("f.hash"))
     held = stored(

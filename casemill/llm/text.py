@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from casemill.layout import scratch_folder
@@ -61,14 +61,27 @@ class Cache(dict):
 class Splitter:
     """Cuts text by a pattern of letter, number and space classes as a given library does.
 
-    Libraries carry different Unicode versions. Up to U+02FF all agree; a character
-    beyond is replaced, for the cutting only, by one that ``kind`` says is alike.
+    Libraries carry different Unicode versions, so ``kind`` is asked: for each character
+    up to U+02FF when the pattern is made, where the classes become plain ranges; for one
+    beyond when it is met, and a like character then stands in for it in the cutting.
     """
 
-    _FAR = regex.compile(r"[^\x00-˿]")
+    _FAR = re.compile("[^\x00-\u02ff]")
 
     def __init__(self, pattern: str, kind: Callable[[str], str]):
-        self.pattern, self.alike = regex.compile(pattern), _Alike(kind)
+        near = {p: kind(chr(p)) for p in range(0x300)}
+        ranges = {
+            name: "".join(f"\\u{p:04x}" for p, k in near.items() if k == letter)
+            for name, letter in ((r"\p{L}", "L"), (r"\p{N}", "N"), (r"\s", "S"))
+        }
+
+        def spell(token: re.Match) -> str:
+            if token[0].startswith("["):
+                return "[" + re.sub(r"\\p\{\w\}|\\s", lambda m: ranges[m[0]], token[0][1:-1]) + "]"
+            return f"[^{ranges[r'\s']}]" if token[0] == r"\S" else f"[{ranges[token[0]]}]"
+
+        self.pattern = re.compile(re.sub(r"\[[^\]]*\]|\\p\{\w\}|\\s|\\S", spell, pattern))
+        self.alike = _Alike(kind)
 
     def __call__(self, text: str) -> list[str]:
         if text.isascii() or not self._FAR.search(text):
