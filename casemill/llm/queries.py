@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from casemill.llm import hostrules
 from casemill.llm.bytebpe import op3_byte_bpe
+from casemill.llm.neardup import op5_minhash_near_dedup
 from casemill.llm.packing import op1_best_fit_packing
 from casemill.llm.substrings import op2_substring_dedup
 from casemill.llm.tokencount import op6_token_counts
@@ -13,8 +15,10 @@ QUERIES = {
         op1_best_fit_packing,
         op2_substring_dedup,
         op3_byte_bpe,
+        op5_minhash_near_dedup,
         op6_token_counts,
+        hostrules.op9_quality_rules,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_quality_rules": hostrules.ORACLE}
