@@ -7,11 +7,12 @@ one is met (optimal densification). Four bins make a band, and classes that agre
 band share a bucket. ``bands`` times ``rows`` values find a pair of similarity 0.8 with a
 probability above 0.999999.
 
-Within a bucket each class is compared with one hub only, on the full shingle sets, so
+Within a bucket each class is compared with two hubs only, on the full shingle sets, so
 the pairs are bounded by the buckets' members. Links make components. A bucket whose
-members then lie in one component is settled. In the others further hubs are drawn until
-few pairs across components are left, and those are all compared: no candidate pair of
-two components stays unchecked, whatever a bucket's size.
+members then lie in one component is settled. The members of the others meet in blocks of
+bounded size, where intersections are counted for pairs across components, each in the
+first band they share; what passes is confirmed on the full sets. So no candidate pair of
+two components stays unchecked, whatever a bucket's size, and no list of pairs is made.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from casemill.llm.text import Cache, slices, stored
 
 BINS, ROWS = 128, 4
-STAR_ROUNDS = 6  # further hubs per bucket before all remaining pairs are compared anyway
+BLOCK = 1024  # members of one side of a block
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -229,7 +230,9 @@ def _links(classes: DataFrame, docs: DataFrame, ngram: int, percent: int, text:
     """Stars over the classes' nodes, as ``components`` gives them."""
     each = classes.select("node", F.col("n_shingles").cast("int").alias("n"), F.explode("bands").alias("bucket"))
     shared = stored(
-        each.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("hub")).where("size > 1"),
+        each.groupBy("bucket")
+        .agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("low"), F.max(F.struct("node", "n")).alias("high"))
+        .where("size > 1"),
         "buckets",
     )
     members = stored(each.join(shared.select("bucket"), "bucket"), "members")
@@ -242,46 +245,101 @@ def _links(classes: DataFrame, docs: DataFrame, ngram: int, percent: int, text:
     def compared(pairs: DataFrame) -> DataFrame:
         return stored(linked(pairs.distinct(), texts, ngram, percent), "links")
 
-    def around(hubs: DataFrame, rows: DataFrame) -> DataFrame:
-        """Pairs of each bucket's hub (a, n_a) with its members; ``rows`` may carry components."""
-        met = rows.join(hubs, "bucket").where(F.col("node") != F.col("a")).where(_alike("n", "n_a", percent))
-        return met.select("a", F.col("node").alias("b"))
-
-    edges = compared(around(shared.select("bucket", F.col("hub.node").alias("a"), F.col("hub.n").alias("n_a")), members))
-    stars = components(edges)
-    for turn in range(STAR_ROUNDS + 1):
-        root = F.coalesce("v", "node").alias("root")
-        placed = members.join(stars.select(F.col("u").alias("node"), "v"), "node", "left").select("bucket", "node", "n", root)
-        groups = placed.groupBy("bucket", "root").agg(F.count("*").alias("c"))
-        mixed = stored(
-            groups.groupBy("bucket")
-            .agg(F.sum("c").alias("size"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.count("*").alias("roots"))
-            .where("roots > 1 AND size > 2"),  # the one pair of two members has been compared
-            "mixed",
-        )
-        total = mixed.agg(F.sum((F.col("size") * F.col("size") - F.col("squares")) / 2), F.sum("size")).first()
-        if not total[1]:
-            return stars
-        rows = stored(placed.join(mixed.select("bucket"), "bucket"), "open")
-        if total[0] > 4 * total[1] and turn < STAR_ROUNDS:
-            drawn = F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(turn)))
-            hubs = rows.groupBy("bucket").agg(drawn.alias("hub"))
-            pairs = around(stored(hubs.select("bucket", F.col("hub.node").alias("a"), F.col("hub.n").alias("n_a")), "hubs"), rows)
-            more = compared(pairs)
-        else:
-            one = rows.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-            pairs = (
-                rows.join(one, "bucket")
-                .where("a < node AND root <> root_a")
-                .where(_alike("n", "n_a", percent))
-                .select("a", F.col("node").alias("b"))
-            )
-            more = compared(pairs)
-        stars_as_edges = stars.select(F.col("u").alias("a"), F.col("v").alias("b"))
-        stars = components(stars_as_edges.unionByName(more))
-        if not (total[0] > 4 * total[1] and turn < STAR_ROUNDS):
-            return stars
-    return stars
+    hubs = F.explode(F.array_distinct(F.array("low", "high"))).alias("hub")
+    hubs = shared.select("bucket", hubs).select("bucket", F.col("hub.node").alias("a"), F.col("hub.n").alias("n_a"))
+    near = members.join(hubs, "bucket").where("node <> a").where(_alike("n", "n_a", percent))
+    stars = components(compared(near.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))))
+
+    root = F.coalesce("v", "node").alias("root")
+    placed = members.join(stars.select(F.col("u").alias("node"), "v"), "node", "left").select("bucket", "node", root)
+    open_ones = stored(
+        placed.groupBy("bucket")
+        .agg(F.count("*").alias("size"), F.min("root").alias("one"), F.max("root").alias("other"))
+        .where("one <> other AND size > 3")  # all pairs of three members have met a hub
+        .select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts")),
+        "open",
+    )
+    # A part meets each other one and itself.
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    left = (
+        placed.join(open_ones, "bucket")
+        .withColumn("part", part)
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select("bucket", "node", "root", "part", F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"))
+    )
+    sets = _short_sets(texts.join(left.select("node").distinct(), "node", "left_semi"), ngram)
+    sets = sets.join(classes.select("node", "bands"), "node")
+    found = _blocks(left.join(sets, "node"), percent).distinct()
+    more = compared(stored(found, "found"))
+    return components(stars.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(more))
+
+
+def _short_sets(texts: DataFrame, ngram: int) -> DataFrame:
+    """(node, items): each shingle set as sorted 32-bit hashes; equal ones only add to an intersection."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketcher = Sketcher(ngram, BINS, ROWS)
+        for batch in slices(batches):
+            words = [lower_words(t) for t in batch.column(1).to_pylist()]
+            sketcher.hashes.need(set().union(*words))
+            items = [(sketcher.hashed(w) >> np.uint64(32)).astype(np.uint32).tobytes() for w in words]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.binary())], ["node", "items"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, items binary")
+
+
+def _blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) across components that may be alike, from rows dealt by (bucket, low, high)."""
+
+    def settle(block: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        nodes, roots, parts = (np.array([r[i] for r in block], np.int64) for i in (1, 2, 3))
+        bands = np.array([r[7] for r in block], np.int64)
+        band = int(np.flatnonzero((bands == block[0][0]).all(0))[0])
+        items = [np.frombuffer(r[6], np.uint32) for r in block]
+        sizes = np.array([len(i) for i in items])
+        every, owners = np.concatenate(items), np.repeat(np.arange(len(block)), sizes)
+        order = np.argsort(every, kind="stable")
+        every, owners = every[order], owners[order]
+        values, counts = np.unique(roots, return_counts=True)
+        main = values[counts.argmax()]  # pairs within a component need no look
+        one, two = [], []
+        inside = block[0][4] == block[0][5]
+        for x in np.flatnonzero(roots != main):
+            starts, ends = np.searchsorted(every, items[x]), np.searchsorted(every, items[x], "right")
+            lengths = ends - starts
+            at = np.repeat(starts - np.concatenate(([0], lengths.cumsum()[:-1])), lengths) + np.arange(lengths.sum())
+            both = np.bincount(owners[at], minlength=len(block))
+            good = (100 * both >= percent * (sizes + sizes[x] - both)) & (roots != roots[x])
+            good &= (parts == parts[x]) if inside else (parts != parts[x])
+            good &= ~(bands[:, :band] == bands[x, :band]).any(1)
+            for y in np.flatnonzero(good):
+                one.append(min(nodes[x], nodes[y]))
+                two.append(max(nodes[x], nodes[y]))
+        return np.array(one, np.int64), np.array(two, np.int64)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, block = None, []
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in settle(block)], ["a", "b"])
+
+        for batch in slices(batches):
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                key = (row[0], row[4], row[5])
+                if key != current:
+                    if block:
+                        yield done()
+                    current, block = key, []
+                block.append(row)
+        if block:
+            yield done()
+
+    return (
+        rows.select("bucket", "node", "root", "part", "low", "high", "items", "bands")
+        .repartition("bucket", "low", "high")
+        .sortWithinPartitions("bucket", "low", "high")
+        .mapInArrow(run, "a long, b long")
+    )
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
