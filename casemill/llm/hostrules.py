@@ -149,6 +149,12 @@ def quality_verdicts(docs: DataFrame, text: str = "text", host: str = "source",
     return judge(stored(measures(rows).drop("text"), "measures"), "host").drop("host", "n_lines")
 
 
+def passed(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their own columns."""
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(text).alias("text"), F.col(host).alias("host"))
+    return judge(stored(measures(rows).drop("text"), "measures"), "host").where("kept").select("doc.*")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 

@@ -342,6 +342,27 @@ def _blocks(rows: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame, ngram: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each component: the least id, of its texts the least hash, of equal rows one.
+
+    Rows without an id are linked with nothing and stay.
+    """
+    found = near_duplicates(docs, ngram, percent, text=text, key=key).where("doc_id IS NOT NULL")
+    found = stored(found.select("doc_id", "hash", "component_id"), "verdicts")
+    ours = F.struct("doc_id", "hash")
+    firsts = found.groupBy("component_id").agg(F.min(ours).alias("first")).select("component_id", "first.*")
+    gone = found.join(firsts, ["doc_id", "hash"], "left_anti").select("doc_id", "hash").distinct()
+    twice = stored(
+        found.join(firsts, ["doc_id", "hash"], "left_semi").groupBy("doc_id", "hash").count().where("count > 1").drop("count"),
+        "repeated",
+    )
+    rows = docs.select(F.struct(*docs.columns).alias("d"), F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"))
+    kept = rows.join(gone.unionByName(twice), ["doc_id", "hash"], "left_anti")
+    if not twice.isEmpty():
+        kept = kept.unionByName(rows.join(twice, ["doc_id", "hash"], "left_semi").dropDuplicates(["doc_id", "hash"]))
+    return kept.select("d.*")
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs, ngram=2).drop("hash")

@@ -281,6 +281,23 @@ def repeated_words(
     return cut.drop("minimisers"), losing.mapInArrow(remove, "doc_id long, hash long, n_removed long, kept string")
 
 
+def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` less the words in repeated windows; a changed text has its words joined by one space.
+
+    A row that loses all its words goes; one that had none stays as it is.
+    """
+    _, losing = repeated_words(docs, text=text, key=key)
+    losing = losing.select("doc_id", "hash", F.col("kept").alias("_kept")).dropDuplicates(["doc_id", "hash"])
+    rows = docs.select(F.struct(*docs.columns).alias("d"), F.xxhash64(text).alias("h"))
+    same = F.col(f"d.{key}").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("hash"))
+    new = F.coalesce("_kept", f"d.{text}").alias(text)
+    return (
+        rows.join(losing, same, "left")
+        .where("_kept IS NULL OR _kept <> ''")
+        .select(*[new if c == text else F.col(f"d.{c}") for c in docs.columns])
+    )
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     every, losing = repeated_words(docs)
