@@ -10,27 +10,25 @@ ones that would make hot join keys.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm.text import Splitter, kind_in_tokenizers, slices, stored
+from casemill.llm.text import Splitter, byte_letters, kind_in_tokenizers, slices, stored
 
 HEAD = 1 << 17  # pre-tokens at most, each of at most HEAD_BYTES, that are looked up in a broadcast table
 HEAD_BYTES = 64
-FLUSH = 200_000  # distinct pre-tokens after which a task hands its counts on
+FLUSH = 100_000  # distinct pre-tokens after which a task hands its counts on
 
 
 class PreTokens:
     """Cuts a text at the tokenizer's special strings, then by the pattern."""
 
-    def __init__(self, tokenizer: str, pattern: str):
-        from tokenizers import Tokenizer
-
-        added = Tokenizer.from_file(tokenizer).get_added_tokens_decoder()
-        self.special = [t.content for t in added.values()]
+    def __init__(self, special: list[str], pattern: str):
+        self.special = special
         self.split = Splitter(pattern, kind_in_tokenizers())
 
     def __call__(self, text: str) -> tuple[list[str], int]:
@@ -44,11 +42,28 @@ class PreTokens:
         return [t for p in parts for t in self.split(p)], found
 
 
-def _frequencies(docs: DataFrame, tokenizer: str, pattern: str) -> DataFrame:
+def special_strings(tokenizer: str) -> list[str]:
+    from tokenizers import Tokenizer
+
+    return [t.content for t in Tokenizer.from_file(tokenizer).get_added_tokens_decoder().values()]
+
+
+@lru_cache(1)
+def merges_of(tokenizer: str) -> Callable[[str], list]:
+    """The tokenizer's merging of one spelt pre-token, loaded once per worker process.
+
+    Encoding whole batches instead starts threads in every worker and holds on to memory.
+    """
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer).model.tokenize
+
+
+def _frequencies(docs: DataFrame, special: list[str], pattern: str) -> DataFrame:
     """Distinct pre-tokens with their frequency; each task hands on sums."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, seen = PreTokens(tokenizer, pattern), Counter()
+        cut, seen = PreTokens(special, pattern), Counter()
         for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 if text:
@@ -72,14 +87,10 @@ def _sizes(vocabulary: DataFrame, tokenizer: str) -> DataFrame:
     """``vocabulary`` with ``n``, the number of tokens of each pre-token."""
 
     def size(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        library = Tokenizer.from_file(tokenizer)
-        library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        library.encode_special_tokens = True  # pre-tokens are ordinary text
+        merge, letters = merges_of(tokenizer), byte_letters()
         for batch in slices(batches, 2048):
-            found = library.encode_batch(batch.column(0).to_pylist(), add_special_tokens=False)
-            lengths = pa.array([len(e.ids) for e in found], pa.int32())
+            spelt = [p.encode().decode("latin-1").translate(letters) for p in batch.column(0).to_pylist()]
+            lengths = pa.array([len(merge(p)) for p in spelt], pa.int32())
             yield pa.RecordBatch.from_arrays([*batch.columns, lengths], ["piece", "frequency", "n"])
 
     return vocabulary.mapInArrow(size, "piece string, frequency long, n int")
@@ -116,11 +127,12 @@ def count_tokens(
     A null or empty text has none. Null and repeated ids are rows like any other.
     """
     spark = docs.sparkSession
-    vocabulary = stored(_sizes(_frequencies(docs.select(text), tokenizer, pattern), tokenizer), "pre-tokens")
+    special = special_strings(tokenizer)
+    vocabulary = stored(_sizes(_frequencies(docs.select(text), special, pattern), tokenizer), "pre-tokens")
     shared = spark.sparkContext.broadcast(head_of(vocabulary, head))
 
     def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, known = PreTokens(tokenizer, pattern), shared.value
+        cut, known = PreTokens(special, pattern), shared.value
         for batch in slices(batches):
             sums, pieces, numbers = [], [], []
             for whole in batch.column(1).to_pylist():
