@@ -9,7 +9,6 @@ from pyspark.sql import Column, functions as F
 from casemill.spec import TRUTHY, UNKNOWN
 
 COMPACT_DATE = "yyyyMMdd"
-VERSION_STAMP = "yyyyMMddHHmmss"
 
 
 def blank_to_null(text: Column) -> Column:
@@ -74,18 +73,22 @@ def iso_timestamp(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
-def _utc(moment: Column) -> Column:
-    return F.to_utc_timestamp(moment, F.current_timezone())
+def _utc_text(moment: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` in UTC, from the epoch; never by way of the session's zone and its gaps."""
+    seconds = F.unix_micros(moment).cast("decimal(20,0)") / 1_000_000
+    passed = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    return F.substring((F.expr("timestamp_ntz'1970-01-01'") + passed).cast("string"), 1, 19)
 
 
 def utc_iso(moment: Column) -> Column:
     """An instant as ISO-8601 text with microseconds, in UTC."""
-    return F.date_format(_utc(moment), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    micros = F.lpad(F.pmod(F.unix_micros(moment), F.lit(1_000_000)).cast("string"), 6, "0")
+    return F.concat(F.translate(_utc_text(moment), " ", "T"), F.lit("."), micros, F.lit("+00:00"))
 
 
 def version_stamp(moment: Column) -> Column:
     """An instant as ``yyyyMMddHHmmss`` in UTC."""
-    return F.date_format(_utc(moment), VERSION_STAMP)
+    return F.translate(_utc_text(moment), "-: ", "")
 
 
 def content_id(text: Column) -> Column:

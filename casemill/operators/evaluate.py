@@ -18,10 +18,12 @@ def metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ())
     """accuracy and support-weighted precision, recall and f1_score, as rows.
 
     One scan builds the confusion counts; the rest works on those. A class that
-    is never predicted has precision 0, and f1 0 where both parts are 0.
+    is never predicted has precision 0, and f1 0 where both parts are 0. Rows without a
+    label or without a prediction are no classes and count nowhere.
     """
     by = list(by)
-    cells = confusion(df, label, prediction, by)
+    known = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+    cells = confusion(known, label, prediction, by)
     # Each cell counts towards the class it holds and the class it was taken for.
     sides = F.inline(
         F.array(

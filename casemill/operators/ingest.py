@@ -25,12 +25,13 @@ def explode_pages(
     by ``record``. A page without ``results`` gives no rows.
 
     A fetcher that reads page by page ends its cycle at the first empty page.
-    ``stop_at_empty`` drops what lies behind one, per ``cycle`` column.
+    ``stop_at_empty`` drops what lies behind one, per ``cycle`` column. A missing page
+    (null or blank) counts as empty; a broken one does not, and ``broken_pages`` has it.
     """
     parsed = nested.parse_once(pages, body, _PAGE, "_page")
     results = F.col("_page.results")
     if stop_at_empty:
-        empty = F.coalesce(F.size(results), F.lit(0)) < 1
+        empty = (F.coalesce(F.size(results), F.lit(0)) < 1) & ~_broken()
         end = F.min(F.when(empty, F.col(page))).alias("_end")
         if cycle is None:
             stop = parsed.agg(end).scalar()
@@ -47,6 +48,20 @@ def explode_pages(
     )
 
 
+def _broken() -> Column:
+    return F.coalesce(F.col("_page").getField(nested.CORRUPT).isNotNull(), F.lit(False))
+
+
+def broken_pages(pages: DataFrame, *, body: str = "value") -> DataFrame:
+    """The pages whose body does not parse, whole, with an ``error_reason``.
+
+    With ``explode_pages`` of the same frame this loses no page: each has its records
+    there, or stands here, or holds none.
+    """
+    parsed = nested.parse_once(pages, body, _PAGE, "_page").filter(_broken())
+    return parsed.select(*pages.columns, F.lit("bad_page").alias("error_reason"))
+
+
 def envelopes(
     records: DataFrame,
     *,

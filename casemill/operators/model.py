@@ -52,9 +52,9 @@ def split(df: DataFrame, spec: ModelSpec = ModelSpec()) -> tuple[DataFrame, Data
     """Train and test rows by a hash of the key.
 
     Unlike a seeded random split, the same row always lands on the same side,
-    however the data is partitioned.
+    however the data is partitioned. Rows without a key are test rows.
     """
-    train = values.hash_percent(F.col(spec.key)) < spec.train_percent
+    train = F.coalesce(values.hash_percent(F.col(spec.key)) < spec.train_percent, F.lit(False))
     return df.filter(train), df.filter(~train)
 
 
@@ -74,7 +74,7 @@ def feature_stages(train: DataFrame, spec: ModelSpec = ModelSpec()) -> list[Esti
 
     Empty numeric columns are left out, as they have no median.
     """
-    numeric = profile.non_empty_columns(train, spec.numeric)
+    numeric = profile.with_values(train, spec.numeric)
     sizes = train.agg(*(F.approx_count_distinct(c).alias(c) for c in spec.categorical)).first()
     listed = [c for c in spec.categorical if sizes[c] <= spec.vocabulary]
     hashed = [c for c in spec.categorical if c not in listed]
@@ -162,7 +162,8 @@ def predict(
         F.lit(version).alias("model_version"),
         F.col(spec.label).cast("int").alias("risk_label"),
         F.col("prediction").cast("int").alias("prediction"),
-        vector_to_array("probability")[1].alias("prediction_probability"),
+        # A model trained on low-risk rows alone knows no other class.
+        F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0)).alias("prediction_probability"),
         moment(now).alias("scoring_timestamp"),
         values.display(*spec.numeric, *spec.categorical).alias("features"),
         moment(now).alias("created_at"),

@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-_CATEGORICAL = (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+KINDS = {
+    "number": (T.NumericType,),
+    "category": (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType),
+}
 
 # Rank error of the sketch that brackets a median: one part in this many.
 _SKETCH_ACCURACY = 10_000
@@ -15,12 +18,12 @@ _SKETCH_ACCURACY = 10_000
 _READ_ROWS = 50_000
 
 
-def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
-
-
-def categorical_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    return [f.name for f in df.schema if isinstance(f.dataType, _CATEGORICAL) and f.name not in exclude]
+def columns_of(df: DataFrame, kind: str, but: Sequence[str] = ()) -> list[str]:
+    """The names of the columns of a kind (``KINDS``), in order, without those in ``but``."""
+    types = dict(zip(df.columns, (field.dataType for field in df.schema.fields), strict=True))
+    for name in but:
+        types.pop(name, None)
+    return [name for name, held in types.items() if isinstance(held, KINDS[kind])]
 
 
 def non_null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -29,12 +32,12 @@ def non_null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.unpivot([], list(columns), "column_name", "non_null")
 
 
-def non_empty_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """The columns with at least one value, in the given order."""
+def with_values(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Those of the columns that hold a value anywhere, in the given order; one pass for all."""
     if not columns:
         return []
-    counts = df.agg(*(F.count(F.col(f"`{c}`")).alias(c) for c in columns)).first()
-    return [c for c in columns if counts[c] > 0]
+    seen = F.array(*(F.bool_or(F.col(f"`{c}`").isNotNull()) for c in columns))
+    return [name for name, found in zip(columns, df.agg(seen).first()[0], strict=True) if found]
 
 
 def quality(
@@ -43,11 +46,11 @@ def quality(
     """Null rate per column, duplicate rate of a key and rate of bad rows, as rows.
 
     The distinct count behind the duplicate rate is exact and distributed:
-    copies of a key merge map-side before the shuffle.
+    copies of a key merge map-side before the shuffle. The rate is null where no key is.
     """
     rates = {f"null_rate_{c}": F.avg(F.col(f"`{c}`").isNull().cast("double")) for c in columns}
     if key is not None:
-        rates["duplicate_key_rate"] = 1 - F.count_distinct(key) / F.count(key)
+        rates["duplicate_key_rate"] = 1 - F.try_divide(F.count_distinct(key), F.count(key))
     if bad is not None:
         rates["bad_record_rate"] = F.avg(F.coalesce(bad, F.lit(False)).cast("double"))
     wide = df.agg(*(rate.alias(name) for name, rate in rates.items()))

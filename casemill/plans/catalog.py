@@ -30,7 +30,7 @@ from casemill.plans.samples import (
     table,
     wrapped_reports,
 )
-from casemill.sources import read_parquet_paths, read_table, spread
+from casemill.sources import read_table, spread
 from casemill.streaming import run_clean_stream, write_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,7 +78,7 @@ def read_many_paths(spark, sf_dir):
     errors = F.col("event_type") == "error"
     sinks.overwrite_snapshot(events.filter(errors), f"{base}/errors")
     sinks.overwrite_snapshot(events.filter(~errors), f"{base}/others")
-    return read_parquet_paths(spark, [f"{base}/errors", None, "", f"{base}/others"])
+    return read_table(spark, f"{base}/errors", None, "", f"{base}/others")
 
 
 @query
@@ -134,19 +134,44 @@ def nested_first_item(spark, sf_dir):
     )
 
 
-@query
-def page_explode(spark, sf_dir):
+def _line_pages(spark, sf_dir):
+    """Each document a page of its lines, with the digest of its text."""
     lines = F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("line")))
-    body = F.when(F.col("lang") == "fr", F.to_json(F.struct(F.lit(1).alias("meta")))).otherwise(
-        F.to_json(F.struct(lines.alias("results")))
-    )
     documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
-    pages = documents.select(F.col("doc_id").alias("page"), body.alias("value"))
-    records = ingest.explode_pages(pages, page_size=100)
+    body = F.to_json(F.struct(lines.alias("results"))).alias("value")
+    return documents.select(F.col("doc_id").alias("page"), "lang", F.md5("text").alias("text_md5"), body)
+
+
+@query
+def page_explode(spark, sf_dir):
+    records = ingest.explode_pages(_line_pages(spark, sf_dir), page_size=100)
     line = nested.json_struct(F.col("record"), {"line": "string"}).getField("line")
     return records.select("page", "position", "record_offset", F.md5(line).alias("line_md5"))
 
 
+@query
+def page_bad(spark, sf_dir):
+    """French pages arrive cut short; each is set aside whole."""
+    cut = F.when(F.col("lang") == "fr", F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    pages = _line_pages(spark, sf_dir).withColumn("value", cut)
+    return ingest.broken_pages(pages).select("page", "text_md5", "error_reason")
+
+
+@query
+def page_cycle_with_broken_page(spark, sf_dir):
+    """A user's reading goes on behind a broken page and ends at the first without results."""
+    one = F.to_json(F.struct(F.array(F.struct("event_id")).alias("results")))
+    body = (
+        F.when(F.col("value") > 450, F.to_json(F.struct(F.lit(1).alias("meta"))))
+        .when(F.col("value") > 100, F.expr("left('{\"results\":[{}]}', 12)"))
+        .otherwise(one)
+    )
+    pages = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("page"), body.alias("value"))
+    records = ingest.explode_pages(pages, page_size=1, cycle="user_id", stop_at_empty=True)
+    kept = records.select("user_id", "page", F.lit("record").alias("kind"))
+    return kept.unionByName(ingest.broken_pages(pages).select("user_id", "page", F.col("error_reason").alias("kind")))
+
+
 @query
 def page_explode_until_empty(spark, sf_dir):
     """Each event a page of its user; reading a user stops at the first page without results."""
@@ -486,20 +511,20 @@ def nonnull_counts(spark, sf_dir):
 @query
 def numeric_columns(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    return profile.non_null_counts(lines, profile.numeric_columns(lines, exclude=["l_orderkey"]))
+    return profile.non_null_counts(lines, profile.columns_of(lines, "number", but=["l_orderkey"]))
 
 
 @query
 def categorical_columns(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    return profile.non_null_counts(orders, profile.categorical_columns(orders, exclude=["o_orderstatus"]))
+    return profile.non_null_counts(orders, profile.columns_of(orders, "category", but=["o_orderstatus"]))
 
 
 @query
 def non_empty_columns(spark, sf_dir):
     names = ["c_custkey", "nothing", "c_mktsegment"]
     customers = table(spark, sf_dir, "customer").withColumn("nothing", F.lit(None).cast("double"))
-    return customers.select(*profile.non_empty_columns(customers, names))
+    return customers.select(*profile.with_values(customers, names))
 
 
 @query
@@ -561,7 +586,7 @@ def quarantine_sink(spark, sf_dir):
     bad = cleaning.clean(messages(spark, sf_dir), now=NOW).bad
     sinks.append_if_nonempty(bad, path)
     sinks.append_if_nonempty(bad.filter("error_reason = 'none'"), path)
-    return read_table(spark, path, schemas.BAD).groupBy("error_reason").agg(F.count(F.lit(1)).alias("records"))
+    return read_table(spark, path, contract=schemas.BAD).groupBy("error_reason").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query
@@ -608,7 +633,7 @@ def stream_clean_equals_batch(spark, sf_dir):
 @query
 def stream_bronze(spark, sf_dir):
     zones = _streamed(spark, sf_dir, dedup="per_batch")
-    rows = read_table(spark, zones.bronze, schemas.RAW).select(*schemas.RAW)
+    rows = read_table(spark, zones.bronze, contract=schemas.RAW).select(*schemas.RAW)
     return _comparable(rows.withColumn("raw_data", F.md5("raw_data")))
 
 

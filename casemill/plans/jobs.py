@@ -20,7 +20,7 @@ def new_version() -> str:
 
 
 def read_silver(spark: SparkSession, zones: Zones) -> DataFrame:
-    return read_table(spark, zones.silver, {**schemas.CLEAN, "run_id": "string", "batch_id": "bigint"}).select(
+    return read_table(spark, zones.silver, contract={**schemas.CLEAN, "run_id": "string", "batch_id": "bigint"}).select(
         *schemas.CLEAN
     )
 
@@ -43,7 +43,7 @@ def run_score(
     version = version or new_version()
     silver = read_silver(spark, zones)
     sinks.overwrite_snapshot(score.score(silver, version, rule, now), zones.predictions)
-    predictions = read_table(spark, zones.predictions, schemas.PREDICTIONS)
+    predictions = read_table(spark, zones.predictions, contract=schemas.PREDICTIONS)
     sinks.overwrite_snapshot(score.slim(predictions), zones.predictions_slim)
     metrics = evaluate.metric_rows(predictions, rule.split_name, rule.label).coalesce(1)
     sinks.overwrite_partitions(metrics, zones.metrics, "model_version", "split_name")
@@ -67,10 +67,10 @@ def run_report(
     Each day's summary is its own partition, so earlier days stay.
     """
     as_of = str(as_of or datetime.datetime.now(datetime.timezone.utc).date())
-    predictions = read_table(spark, zones.predictions, schemas.PREDICTIONS)
+    predictions = read_table(spark, zones.predictions, contract=schemas.PREDICTIONS)
     rows = summary.long_summary(predictions, dimensions, as_of)
     sinks.overwrite_partitions(rows, zones.summary, "summary_date")
-    stored = read_table(spark, zones.summary, schemas.SUMMARY)
+    stored = read_table(spark, zones.summary, contract=schemas.SUMMARY)
     if jdbc:
         sinks.jdbc_write(stored, jdbc, "risk_summary", "overwrite")
     return stored.where(stored["summary_date"] == as_of).select(*schemas.SUMMARY)
@@ -100,6 +100,9 @@ def run_training(
     for rows, path in ((silver, zones.predictions), (test, zones.test_predictions)):
         found = model.predict(models[best], rows, best, version, spec, now)
         sinks.overwrite_snapshot(found.select(*schemas.PREDICTIONS), path)
+    # The slim copy goes with the predictions, whichever model made them.
+    kept = read_table(spark, zones.predictions, contract=schemas.PREDICTIONS)
+    sinks.overwrite_snapshot(score.slim(kept), zones.predictions_slim)
     return best
 
 

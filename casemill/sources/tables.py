@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from casemill import schemas
 
 
-def read_table(spark: SparkSession, path: str, contract: Mapping[str, str] | None = None) -> DataFrame:
-    """A Parquet table. With a contract, no file is opened to infer the schema."""
+def read_table(spark: SparkSession, *places: str | None, contract: Mapping[str, str] | None = None) -> DataFrame:
+    """A Parquet table that lies in one place or several; places without a name are passed over.
+
+    With a contract, no file is opened to infer the schema.
+    """
+    named = list(filter(None, places))
+    if not named:
+        raise ValueError("a table needs a place")
     reader = spark.read.schema(schemas.ddl(contract)) if contract else spark.read
-    return reader.parquet(path)
+    return reader.parquet(*named)
 
 
 def read_if_present(
@@ -21,21 +27,13 @@ def read_if_present(
 ) -> DataFrame | None:
     """The table, or None before anything was written to it."""
     try:
-        return read_table(spark, path, contract)
+        return read_table(spark, path, contract=contract)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def read_parquet_paths(spark: SparkSession, paths: Iterable[str | None]) -> DataFrame:
-    """Several Parquet paths as one table; empty entries are skipped."""
-    given = [path for path in paths if path]
-    if not given:
-        raise ValueError("no Parquet path was given")
-    return spark.read.parquet(*given)
-
-
 def rows_table(spark: SparkSession, rows: Sequence[tuple], contract: Mapping[str, str]) -> DataFrame:
     """A handful of literal rows as a table with declared types."""
     return spark.createDataFrame(list(rows), schemas.ddl(contract))

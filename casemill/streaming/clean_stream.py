@@ -148,7 +148,8 @@ def run_clean_stream(
       batch costs what it holds. Which copy of one batch stays is not defined.
     * ``watermark``: as ``state``, but ids are forgotten ``delay`` after they were
       fetched, and rows arriving later than that are not cleaned (they stay in
-      bronze).
+      bronze). Rows whose time cannot be read are cleaned, and deduplicated within
+      their batch only.
 
     The two stateful modes need a second query, as state can only drop rows for
     silver and must not drop them for bronze. Give them a RocksDB state store
@@ -166,17 +167,20 @@ def run_clean_stream(
     if stateful:
         typed = ops.typed_rows(ops.parse(stream_source(spark, source), spec), spec, now)
         if dedup == "watermark":
-            fetched = F.coalesce("ingestion_timestamp", F.current_timestamp())
+            # A row without a readable time passes by the watermark, which it must not move.
+            timeless = typed.where("ingestion_timestamp IS NULL")
             typed = (
-                typed.withColumn("_fetched", fetched)
-                .withWatermark("_fetched", delay)
+                typed.where("ingestion_timestamp IS NOT NULL")
+                .withWatermark("ingestion_timestamp", delay)
                 .dropDuplicatesWithinWatermark(["report_id"])
-                .drop("_fetched")
+                .unionByName(timeless)
             )
         else:
             typed = typed.dropDuplicates(["report_id"])
 
         def silver_batch(batch: DataFrame, run_id: str, batch_id: int) -> None:
+            if dedup == "watermark":
+                batch = keep_one(batch, ["report_id"], ops.survivor_order())
             sinks.replace_batch(batch, zones.silver, run_id, batch_id, "batch_number", gather=True)
 
         queries.append(_start(typed, f"{zones.checkpoints}/{name}_silver", trigger, silver_batch))

@@ -22,7 +22,7 @@ def test_jobs_in_order(spark, tmp_path, zones, own_session):
     app.main(["clean", "--root", zones.root, "--inbox", inbox])
     app.main(["score", "--root", zones.root, "--version", "v1"])
     app.main(["report", "--root", zones.root, "--as-of", "2024-06-01"])
-    stored = read_table(spark, zones.summary, schemas.SUMMARY).filter("dimension_type = 'overall'").first()
+    stored = read_table(spark, zones.summary, contract=schemas.SUMMARY).filter("dimension_type = 'overall'").first()
     assert (stored.total_records, stored.high_risk_records) == (4, 2)
     assert set(own_session) == {"casemill-clean", "casemill-score", "casemill-report"}
 

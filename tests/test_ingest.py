@@ -19,15 +19,26 @@ def test_explode_pages(spark):
     assert [tuple(r) for r in got] == [(0, 0, '{"id":"a"}', 0), (0, 1, '{"id":"b"}', 1)]
 
 
+def test_broken_pages_are_kept_aside(spark):
+    got = [tuple(r) for r in ingest.broken_pages(pages(spark)).collect()]
+    assert got == [(3, "broken", "bad_page")]
+    rows = [(0, '{"results":[{"id":"a"}]}'), (1, '{"results":[{"id"'), (2, '{"results":[{"id":"c"}]}'), (3, None)]
+    for stop in (False, True):
+        records = ingest.explode_pages(pages(spark, rows), stop_at_empty=stop).collect()
+        assert sorted(r.page for r in records) == [0, 2]
+    assert [r.page for r in ingest.broken_pages(pages(spark, rows)).collect()] == [1]
+
+
 def test_stop_at_the_first_empty_page(spark):
-    rows = [*PAGES, (5, '{"results":[{"id":"late"}]}')]
+    rows = [(0, '{"results":[{"id":"a"},{"id":"b"}]}'), (1, "broken"), (2, '{"results":[{"id":"c"}]}')]
+    rows += [(3, '{"meta":1}'), (5, '{"results":[{"id":"late"}]}')]
     everything = ingest.explode_pages(pages(spark, rows)).count()
-    assert everything == 3
-    assert ingest.explode_pages(pages(spark, rows), stop_at_empty=True).count() == 2
+    assert everything == 4
+    assert ingest.explode_pages(pages(spark, rows), stop_at_empty=True).count() == 3
     cycles = pages(spark, rows).withColumn("cycle", (F.col("page") > 3).cast("int"))
-    assert ingest.explode_pages(cycles, cycle="cycle", stop_at_empty=True).count() == 3
+    assert ingest.explode_pages(cycles, cycle="cycle", stop_at_empty=True).count() == 4
     unnamed = cycles.withColumn("cycle", F.when(F.col("cycle") == 0, 0))
-    assert ingest.explode_pages(unnamed, cycle="cycle", stop_at_empty=True).count() == 3
+    assert ingest.explode_pages(unnamed, cycle="cycle", stop_at_empty=True).count() == 4
 
 
 def test_envelopes_and_messages(spark):

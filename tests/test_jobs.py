@@ -21,7 +21,7 @@ def test_run_all(spark, tmp_path, zones):
     assert rows.columns == list(schemas.SUMMARY)
     assert read_table(spark, zones.predictions).columns == list(schemas.PREDICTIONS)
     assert read_table(spark, zones.predictions_slim).columns == list(schemas.PREDICTIONS_SLIM)
-    metrics = read_table(spark, zones.metrics, schemas.METRICS).collect()
+    metrics = read_table(spark, zones.metrics, contract=schemas.METRICS).collect()
     assert {(m.metric_name, m.metric_value) for m in metrics} == {
         ("accuracy", 1.0), ("precision", 1.0), ("recall", 1.0), ("f1_score", 1.0),
     }
@@ -36,7 +36,7 @@ def test_reruns_replace_and_history_stays(spark, zones):
     for day in ("2024-06-01", "2024-06-02", "2024-06-02"):
         last = jobs.run_report(spark, zones, as_of=day)
     assert {str(r.summary_date) for r in last.collect()} == {"2024-06-02"}
-    stored = read_table(spark, zones.summary, schemas.SUMMARY)
+    stored = read_table(spark, zones.summary, contract=schemas.SUMMARY)
     assert stored.count() == 2 * last.count()
 
 
@@ -132,8 +132,18 @@ def test_run_training(spark, zones):
     assert best in ("logistic_regression", "random_forest")
     full, test = read_table(spark, zones.predictions), read_table(spark, zones.test_predictions)
     assert full.count() == 400 > test.count() > 0
-    stored = read_table(spark, zones.metrics, schemas.METRICS)
+    slim = read_table(spark, zones.predictions_slim)
+    assert slim.columns == list(schemas.PREDICTIONS_SLIM)
+    assert slim.exceptAll(full.select(*slim.columns)).isEmpty() and slim.count() == 400
+    stored = read_table(spark, zones.metrics, contract=schemas.METRICS)
     assert stored.count() == 8
     again = {r.metric_name: r.metric_value for r in evaluate.metric_rows(test, "test").collect()}
     kept = {r.metric_name: r.metric_value for r in stored.collect() if r.model_name == best}
     assert again == pytest.approx(kept)
+
+
+def test_split_puts_rows_without_a_key_on_the_test_side(spark):
+    rows = spark.createDataFrame([("a",), ("b",), (None,)], "report_id string")
+    train, test = model.split(rows)
+    assert train.count() + test.count() == 3
+    assert test.where("report_id IS NULL").count() == 1

@@ -17,6 +17,11 @@ TABLES = (
 NO_SQL = {"model_metrics", "model_best_scores"}
 
 
+def is_text_query(name):
+    """Queries of the optional part have their own tests beside it."""
+    return name == "pipeline" or (name[:2] == "op" and name[2:3].isdigit())
+
+
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
@@ -37,7 +42,7 @@ def canonical(names, rows):
     return sorted(names), sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+SAME_TYPE = {"boolean": "BOOLEAN", "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
 
 
 @pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
@@ -55,7 +60,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) == NO_SQL
+    assert {q for q in entry_point.queries() if not is_text_query(q)} - set(entry_point.oracle_sql()) == NO_SQL
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 

@@ -153,10 +153,10 @@ def test_latest_metrics(spark):
 
 def test_column_selection(spark):
     df = spark.createDataFrame([], "a int, b double, c string, d date, e boolean, f decimal(5,2), g array<int>")
-    assert profile.numeric_columns(df, exclude=["a"]) == ["b", "f"]
-    assert profile.categorical_columns(df) == ["c", "d", "e"]
-    assert profile.non_empty_columns(df, []) == []
-    assert profile.non_empty_columns(df, ["a", "c"]) == []
+    assert profile.columns_of(df, "number", but=["a"]) == ["b", "f"]
+    assert profile.columns_of(df, "category") == ["c", "d", "e"]
+    assert profile.with_values(df, []) == []
+    assert profile.with_values(df, ["a", "c"]) == []
 
 
 @pytest.mark.parametrize("limit", [50_000, 20])
@@ -197,3 +197,19 @@ def test_median_of_nothing(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
     assert profile.exact_medians(df, ["a", "b"]) == {"a": None, "b": 2.0}
     assert profile.fill_median(df, ["a"]).first().a is None
+
+
+def test_quality_of_nothing(spark):
+    for rows in ([], [(None, 1)]):
+        frame = spark.createDataFrame(rows, "key string, n int")
+        rates = {r.measure: r.rate for r in profile.quality(frame, ["n"], key=F.col("key")).collect()}
+        assert rates["duplicate_key_rate"] is None
+
+
+def test_metrics_pass_over_nulls(spark):
+    sound = [(1, 1), (0, 1), (0, 0), (1, 1)]
+    found = []
+    for rows in (sound, [*sound, (None, 1), (0, None), (None, None)]):
+        frame = spark.createDataFrame(rows, "label int, prediction int")
+        found.append(sorted(map(tuple, evaluate.metrics(frame, "label", "prediction").collect())))
+    assert found[0] == found[1]

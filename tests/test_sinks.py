@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from casemill import JdbcSpec, StreamSpec, Zones, schemas, sinks
 from casemill.layout import scratch_folder
-from casemill.sources import kafka_options, read_if_present, read_parquet_paths, read_table, rows_table, spread
+from casemill.sources import kafka_options, read_if_present, read_table, rows_table, spread
 
 JDBC = JdbcSpec(url="jdbc:postgresql://db/w", user="u", password="p")
 
@@ -94,7 +94,7 @@ def test_replay_that_yields_nothing_clears_the_batch(spark, tmp_path):
     assert not os.path.exists(path)
     assert sinks.replace_batch_if_nonempty(rows, path, "r", 0)
     sinks.replace_batch_if_nonempty(rows.limit(0), path, "r", 0)
-    assert read_table(spark, path, schemas.BAD).count() == 0
+    assert read_table(spark, path, contract=schemas.BAD).count() == 0
 
 
 def test_csv(spark, tmp_path):
@@ -144,9 +144,9 @@ def test_many_paths(spark, tmp_path):
     paths = [str(tmp_path / n) for n in "ab"]
     for path in paths:
         sinks.overwrite_snapshot(numbered(spark, 3), path)
-    assert read_parquet_paths(spark, [None, paths[0], "", paths[1]]).count() == 6
+    assert read_table(spark, None, paths[0], "", paths[1]).count() == 6
     with pytest.raises(ValueError):
-        read_parquet_paths(spark, [None, ""])
+        read_table(spark, None, "")
 
 
 def test_spread(spark):

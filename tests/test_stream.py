@@ -51,8 +51,8 @@ def test_stream_equals_batch(spark, tmp_path, zones):
     shown = lambda df, contract: sorted(map(str, df.select(*contract).collect()))
     stored = jobs.read_silver(spark, zones)
     assert shown(stored, schemas.CLEAN) == shown(batch.clean, schemas.CLEAN)
-    assert shown(read_table(spark, zones.bronze, schemas.RAW), schemas.RAW) == shown(batch.raw, schemas.RAW)
-    assert shown(read_table(spark, zones.quarantine, schemas.BAD), schemas.BAD) == shown(batch.bad, schemas.BAD)
+    assert shown(read_table(spark, zones.bronze, contract=schemas.RAW), schemas.RAW) == shown(batch.raw, schemas.RAW)
+    assert shown(read_table(spark, zones.quarantine, contract=schemas.BAD), schemas.BAD) == shown(batch.bad, schemas.BAD)
     assert read_table(spark, zones.quarantine).count() == len(REASONS)
 
 

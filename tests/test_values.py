@@ -60,6 +60,28 @@ def test_utc_texts_do_not_depend_on_the_session_zone(spark, zone):
     assert (row.iso, row.v) == ("2023-11-14T22:13:20.123456+00:00", "20231114221320")
 
 
+@pytest.mark.parametrize("zone", ["Europe/Berlin", "Africa/Cairo", "America/New_York"])
+def test_utc_texts_in_gaps_and_overlaps(spark, zone):
+    """Every quarter of an hour around the changes of 2024, an instant before the epoch, and null."""
+    starts = [1711843200, 1714075200, 1710028800, 1729980000, 1730390400, 1730595600]
+    micros = [1_000_000 * (s + 900 * i) + i for s in starts for i in range(64)] + [-1, 0, None]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        moment = F.timestamp_micros("m")
+        frame = spark.createDataFrame([(m,) for m in micros], "m long")
+        rows = frame.select("m", values.utc_iso(moment).alias("iso"), values.version_stamp(moment).alias("v")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    for m, iso, stamp in rows:
+        if m is None:
+            assert (iso, stamp) == (None, None)
+            continue
+        want = datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=m)
+        assert iso == f"{want:%Y-%m-%dT%H:%M:%S}.{want.microsecond:06d}+00:00"
+        assert stamp == f"{want:%Y%m%d%H%M%S}"
+
+
 def test_message_key(spark):
     key = lambda x: values.message_key(x, F.lit(3), F.lit(101))
     assert column(spark, key, ["r1", "", None, " "]) == ["r1", "batch-3-101", "batch-3-101", " "]
