@@ -100,27 +100,27 @@ def _strings(rows: DataFrame, width: int, grain: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(width, grain)
         for batch in slices(batches, 128):
-            docs, hashes, texts, flagged = (c.to_pylist() for c in batch.columns)
+            rows_here, texts, flagged = (c.to_pylist() for c in batch.columns)
             cut = [words_of(t) for t in texts]
             cutter.hashes.need(set().union(*cut))
-            out: list[list] = [[], [], [], [], [], []]
-            for doc, own, words, numbers in zip(docs, hashes, cut, flagged, strict=True):
+            out: list[list] = [[], [], [], [], []]
+            for own, words, numbers in zip(rows_here, cut, flagged, strict=True):
                 minimisers, firsts = cutter(words)
                 ends = [*firsts[1:].tolist(), len(words) - width + 1]
                 for k in sorted(numbers):
                     first = int(firsts[k])
                     packed = b" ".join(words[first : ends[k] + width - 1])
-                    row = (doc, own, first, int(minimisers[k]), xxhash.xxh3_128_digest(packed), packed)
+                    row = (own, first, int(minimisers[k]), xxhash.xxh3_128_digest(packed), packed)
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-            names = ["doc_id", "hash", "first", "minimiser", "digest", "packed"]
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            names = ["row", "first", "minimiser", "digest", "packed"]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(out, types, strict=True)], names
             )
 
-    return rows.select("doc_id", "hash", "text", "numbers").mapInArrow(
-        run, "doc_id long, hash long, first int, minimiser long, digest binary, packed binary"
+    return rows.select("row", "text", "numbers").mapInArrow(
+        run, "row long, first int, minimiser long, digest binary, packed binary"
     )
 
 
@@ -232,14 +232,19 @@ def repeated_words(
     of the text. A null text has no words.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
-    cut = stored(_cut_pass(rows, width, grain), "minimisers")
-    each = cut.select("doc_id", "hash", F.posexplode("minimisers").alias("number", "minimiser"))
+    # Row numbers of stored tables stand for the two keys in what is shuffled.
+    cut = stored(_cut_pass(rows, width, grain).withColumn("row", F.monotonically_increasing_id()), "minimisers")
+    each = cut.select("row", F.posexplode("minimisers").alias("number", "minimiser"))
     # A table of its own: the join then deals both sides itself and may split a frequent minimiser.
     twice = stored(each.groupBy("minimiser").count().where("count > 1").select("minimiser"), "repeated")
-    flagged = each.join(twice, "minimiser").groupBy("doc_id", "hash").agg(F.collect_set("number").alias("numbers"))
+    flagged = each.join(twice, "minimiser").groupBy("row").agg(F.collect_set("number").alias("numbers"))
+    flagged = cut.select("row", "doc_id", "hash").join(flagged, "row").drop("row")
+    flagged = flagged.dropDuplicates(["doc_id", "hash"])  # repeated rows have the same minimisers
     same: Column = F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("r.hash") == F.col("f.hash"))
     held = stored(
-        rows.alias("r").join(flagged.alias("f"), same).select("r.doc_id", "r.hash", "r.text", "f.numbers"),
+        rows.alias("r")
+        .join(flagged.alias("f"), same)
+        .select("r.doc_id", "r.hash", "r.text", "f.numbers", F.monotonically_increasing_id().alias("row")),
         "flagged",
     )
     strings = _strings(held, width, grain)
@@ -254,13 +259,12 @@ def repeated_words(
     few = distinct.join(crowded, "minimiser", "left_anti")
     runs = _bucket_runs(few, width).unionByName(_crowded_runs(distinct.join(crowded, "minimiser", "left_semi"), width))
     spans = (
-        strings.select("doc_id", "hash", "first", "digest")
+        strings.select("row", "first", "digest")
         .join(runs, "digest")
-        .groupBy("doc_id", "hash")
+        .groupBy("row")
         .agg(F.flatten(F.collect_set(F.transform("runs", lambda i: i + F.col("first")))).alias("runs"))
     )
-    same = F.col("h.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("h.hash") == F.col("s.hash"))
-    losing = held.alias("h").join(spans.alias("s"), same).select("h.doc_id", "h.hash", "h.text", "s.runs")
+    losing = held.drop("numbers").join(spans, "row").select("doc_id", "hash", "text", "runs")
 
     def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 128):
@@ -278,7 +282,7 @@ def repeated_words(
                 ["doc_id", "hash", "n_removed", "kept"],
             )
 
-    return cut.drop("minimisers"), losing.mapInArrow(remove, "doc_id long, hash long, n_removed long, kept string")
+    return cut.drop("minimisers", "row"), losing.mapInArrow(remove, "doc_id long, hash long, n_removed long, kept string")
 
 
 def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
