@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +45,22 @@ def test_duplicates_across_batches(spark, tmp_path, zones, dedup, want):
     assert read_table(spark, zones.bronze).count() == 6
 
 
+def test_a_broken_time_does_not_move_the_watermark(spark, tmp_path, zones):
+    """Old rows in three files, one with an unreadable time: none is taken for late."""
+    inbox = str(tmp_path / "inbox")
+    for batch, keys in enumerate(("ab", "cxx", "de"), 1):
+        rows = []
+        for i, key in enumerate(keys):
+            message = json.loads(envelope(record(safetyreportid=key), i, batch))
+            if key == "x":
+                message["ingestion_timestamp"] = "not a time"
+            rows.append((json.dumps(message),))
+        frame = spark.createDataFrame(rows, "value string").select(F.col("value").cast("binary"))
+        frame.coalesce(1).write.mode("append").parquet(inbox)
+    run(spark, inbox, zones, dedup="watermark")
+    assert silver(spark, zones) == list("abcdex")
+
+
 def test_stream_equals_batch(spark, tmp_path, zones):
     inbox = str(tmp_path / "inbox")
     land(spark, inbox, RECORDS.values())
