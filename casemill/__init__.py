@@ -1,7 +1,8 @@
 """casemill: governed analytics over semi-structured event reports, on Spark.
 
-Every operator takes and returns DataFrames (or Columns); nothing in
-``functions`` or ``operators`` does I/O, reads the clock or collects data.
+Every operator takes and returns DataFrames (or Columns), and ``functions`` only builds
+expressions. Of the operators, ``profile``, ``model`` and ``dedup`` read small results to
+decide what to do next, and ``clean`` reads the clock where no time is given.
 """
 
 from casemill.layout import Zones

@@ -11,7 +11,10 @@ from pyspark.sql import SparkSession
 
 @dataclass(frozen=True)
 class Zones:
-    """Paths under one root; any Hadoop-compatible file system works."""
+    """Paths under one root; any Hadoop-compatible file system works.
+
+    The folder names are fixed values: readers of the zones expect them.
+    """
 
     root: str
 

@@ -132,6 +132,7 @@ def kafka_options(servers: str, topic: str, extra: Mapping[str, str] | None = No
     return {
         "kafka.bootstrap.servers": servers,
         "topic": topic,
+        # The settings that publishers of this topic share.
         "kafka.acks": "all",
         "kafka.retries": "5",
         "kafka.linger.ms": "50",
