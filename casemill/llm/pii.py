@@ -12,6 +12,7 @@ identifiers of its kind, seen before or not.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -24,6 +25,7 @@ KINDS = ("email", "ip", "card", "phone", "secret")  # the order in which spans o
 ROUNDS = 3
 PRIOR = 2.0  # instances of no worth that every pattern is credited with
 WORTH = 0.6  # of a pattern that marks its values
+NESTED = 200  # longest value that may stand within another value
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -34,7 +36,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 _SIGN = re.compile("[:=]")
 _CUE = re.compile(r"([A-Za-z][A-Za-z0-9_-]*)[ \t]{0,3}\Z")
-_VALUE = re.compile(r"[ \t]{0,3}([\"']?)([^\s\"',;]{4,200})")
+_VALUE = re.compile(r"[ \t]{0,3}([\"']?)([^\s\"',;]{4,})")
 _RANDOM = re.compile(r"(?=.*[0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_-]{24,}={0,2})\Z")
 _LIKELY = re.compile(r"(?=.*[0-9]).{6,}\Z", re.S)
 
@@ -84,17 +86,32 @@ def _digits(text: str) -> str:
 
 
 def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
-    """(pattern, value, start, end, seed kind or None) of each cue, sign and value."""
-    found = []
+    """(pattern, value, start, end, seed kind or None) of each cue, sign and value.
+
+    A value goes on to the end of its run, however long. A sign within a value starts
+    another, to the same end, if that one has no more than ``NESTED`` characters: the
+    values of a text then take no more room than a multiple of the text.
+    """
+    found, reach = [], 0
+    widest = max((b - a for a, _, b in base), default=0)
     for sign in _SIGN.finditer(text):
         cue = _CUE.search(text, max(0, sign.start() - 48), sign.start())
-        value = _VALUE.match(text, sign.end())
-        if not cue or not value:
+        if not cue:
             continue
-        start, end = value.span(2)
-        kinds = [KINDS[k] for a, k, b in base if a < end and b > start]
-        kind = kinds[0] if kinds else "secret" if _RANDOM.match(value[2]) else None
-        found.append((f"{cue[1].lower()}{sign[0]}{value[1]}", value[2], start, end, kind))
+        if sign.end() < reach:
+            quote, start, end = "", sign.end(), reach
+            if not 4 <= end - start <= NESTED:
+                continue
+        else:
+            value = _VALUE.match(text, sign.end())
+            if not value:
+                continue
+            quote, (start, end) = value[1], value.span(2)
+            reach = end
+        near = base[bisect_left(base, (start - widest,)) : bisect_left(base, (end,))]
+        kinds = [KINDS[k] for _, k, b in near if b > start]
+        kind = kinds[0] if kinds else "secret" if _RANDOM.match(text, start, end) else None
+        found.append((f"{cue[1].lower()}{sign[0]}{quote}", text[start:end], start, end, kind))
     return found
 
 

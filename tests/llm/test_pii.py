@@ -104,6 +104,17 @@ def test_patterns_find_unseen_values(spark):
     assert all(rows[i] == "" for i in range(32, 62))
 
 
+def test_long_values_are_whole(spark):
+    long = "4f" * 700
+    texts = [*PLANTED, f'password = "{long}"', f"see password={long}=x1y2z3w4 end"]
+    rows = {r["doc_id"]: r["spans"] for r in pii.personal_data(table(spark, texts)).collect()}
+    assert rows[len(PLANTED)] == f"secret:12:{12 + len(long)}"
+    places = pii.occurrences(texts[-1], [])
+    assert places[0][:2] == ("password=", f"{long}=x1y2z3w4")
+    places = pii.occurrences("a=" * 200_000, [])
+    assert sum(len(v) for _, v, *_ in places) < 100 * 400_000
+
+
 def test_base_on_random_texts():
     rng = random.Random(3)
     for _ in range(4000):
