@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Below this many keys a key list is broadcast (16-digit to 40-digit ids: tens of MB).
-BROADCAST_KEYS = 1_000_000
+# Key lists of at most this size are broadcast.
+BROADCAST_BYTES = 64 << 20
+KEY_BYTES = 64  # what a key takes beside its own characters, about
 
 
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -27,18 +28,20 @@ def keep_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def new_keys_only(
-    batch: DataFrame, stored: DataFrame, key: str, *, broadcast_keys: int = BROADCAST_KEYS
+    batch: DataFrame, stored: DataFrame, key: str, *, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Rows of a (small, persisted) batch whose key is not stored yet.
 
     The stored side is the large one, so it must not be shuffled for every
-    batch: when the batch has few enough keys they are broadcast to a semi join
-    that scans only the stored key column, and the few hits are then subtracted.
-    A larger batch goes through a plain shuffled anti join.
+    batch: when the batch's keys take little enough room they are broadcast to a
+    semi join that scans only the stored key column, and the few hits are then
+    subtracted. The keys of a larger batch meet the stored ones in a shuffle of
+    the key columns alone, whose join is left to the planner.
     """
     stored = stored.select(key)
     keys = batch.select(key)
-    if keys.count() <= broadcast_keys:
-        hits = stored.join(F.broadcast(keys), key, "left_semi").distinct()
-        return batch.join(hits, key, "left_anti")
-    return batch.join(stored.hint("shuffle_merge"), key, "left_anti")
+    size = F.sum(F.octet_length(F.col(key).cast("string")) + KEY_BYTES)
+    if (keys.agg(size).first()[0] or 0) <= broadcast_bytes:
+        keys = F.broadcast(keys)
+    hits = stored.join(keys, key, "left_semi").distinct()
+    return batch.join(hits, key, "left_anti")

@@ -35,9 +35,9 @@ class ModelSpec:
     elastic_net: float = 0.0
     trees: int = 100
     depth: int = 8
-    # A column with more distinct values than this is hashed: an index of its
-    # values would pass all of them through the driver.
-    vocabulary: int = 20_000
+    # Categories that are hashed instead of indexed. Columns of many values belong
+    # here: an index of its values passes all of them through the driver.
+    hashed: tuple[str, ...] = ()
     hash_width: int = 1 << 16
 
 
@@ -63,21 +63,19 @@ def prepare(df: DataFrame, spec: ModelSpec = ModelSpec()) -> DataFrame:
     return df.withColumns(
         {
             **{c: F.col(c).cast("double") for c in spec.numeric},
-            **{c: F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)) for c in spec.categorical},
+            **{c: F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)) for c in (*spec.categorical, *spec.hashed)},
             spec.label: F.col(spec.label).cast("double"),
         }
     )
 
 
 def feature_stages(train: DataFrame, spec: ModelSpec = ModelSpec()) -> list[Estimator | Transformer]:
-    """Median imputation, indexing, one-hot encoding and assembly.
+    """Median imputation, indexing, one-hot encoding, hashing and assembly.
 
     Empty numeric columns are left out, as they have no median.
     """
     numeric = profile.with_values(train, spec.numeric)
-    sizes = train.agg(*(F.approx_count_distinct(c).alias(c) for c in spec.categorical)).first()
-    listed = [c for c in spec.categorical if sizes[c] <= spec.vocabulary]
-    hashed = [c for c in spec.categorical if c not in listed]
+    listed, hashed = list(spec.categorical), list(spec.hashed)
     stages: list[Estimator | Transformer] = []
     parts: list[str] = []
     if numeric:
@@ -165,7 +163,7 @@ def predict(
         # A model trained on low-risk rows alone knows no other class.
         F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0)).alias("prediction_probability"),
         moment(now).alias("scoring_timestamp"),
-        values.display(*spec.numeric, *spec.categorical).alias("features"),
+        values.display(*spec.numeric, *spec.categorical, *spec.hashed).alias("features"),
         moment(now).alias("created_at"),
     )
 

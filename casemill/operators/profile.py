@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 KINDS = {
@@ -12,10 +13,7 @@ KINDS = {
     "category": (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType),
 }
 
-# Rank error of the sketch that brackets a median: one part in this many.
-_SKETCH_ACCURACY = 10_000
-# A bracket of at most this many rows is small enough to read.
-_READ_ROWS = 50_000
+_BINS = 1 << 16  # per interval and pass of a median
 
 
 def columns_of(df: DataFrame, kind: str, but: Sequence[str] = ()) -> list[str]:
@@ -64,67 +62,82 @@ def distinct(df: DataFrame, column: str, *, approximate: bool = False) -> DataFr
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact medians without gathering a column in one place.
-
-    Spark's own ``median`` keeps every distinct value in one buffer. Here a
-    mergeable sketch brackets the middle ranks within a known error, a count
-    pins the bracket's exact rank, and the bracket shrinks some thousandfold per
-    round until it is small enough to read: two or three column-pruned scans even
-    for 10^11 rows. Nulls and NaN are ignored.
+    """Exact medians of all columns without gathering values in one place.
+
+    One pass finds each column's extent. Each further pass counts the rows of the open
+    intervals by ordered bins, which merge map-side, and narrows an interval to the extent of
+    the bin that holds a middle rank, until that extent is a single value. All columns share
+    the passes, and of each interval only the bins of the middle ranks reach the driver. The
+    first bins follow the logarithm, so that the spread of the values does not matter; four or
+    five passes settle what doubles can tell apart. The input is read once per pass: store
+    it first if it is costly. Nulls and NaN are ignored.
     """
-    numbers = df.select(*(F.col(c).cast("double").alias(c) for c in columns)).select(
-        *(F.when(~F.isnan(c), F.col(c)).alias(c) for c in columns)
+    numbers = df.select(*(F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)))
+    numbers = numbers.select(*(F.when(~F.isnan(c), F.col(c)).alias(c) for c in numbers.columns))
+    if not columns:
+        return {}
+    extent = numbers.agg(*(F.struct(F.count(c), F.min(c), F.max(c)) for c in numbers.columns)).first()
+    found: dict[tuple[int, int], float] = {}
+    spans: dict[tuple[int, float, float], tuple[int, set[int]]] = {}  # column, extent: rows below, ranks
+    for i, (count, low, high) in enumerate(extent):
+        if count:
+            spans[i, low, high] = (0, {(count - 1) // 2, count // 2})
+    bins = _log_bins
+    while spans:
+        spans = _narrowed(numbers, spans, bins, found)
+        bins = _even_bins
+    middles = [[v for (column, _), v in found.items() if column == i] for i in range(len(columns))]
+    # Halved before they are added, as the sum of two values may be beyond a double.
+    return {c: m[0] if len(m) == 1 else m[0] / 2 + m[1] / 2 if m else None for c, m in zip(columns, middles, strict=True)}
+
+
+def _log_bins(value: Column, low: float, high: float) -> Column:
+    """Bins that grow with the distance from zero, by a 64th of it."""
+    return F.signum(value) * F.floor(F.log1p(F.abs(value)) * 64)
+
+
+def _even_bins(value: Column, low: float, high: float) -> Column:
+    """Bins of one width between two finite values."""
+    by = 1.0 if math.isfinite(high - low) else 0.5  # the width itself may be beyond a double
+    width = F.lit(high * by) - F.lit(low * by)
+    return F.floor((value * by - F.lit(low * by)) / width * _BINS)
+
+
+def _narrowed(
+    numbers: DataFrame,
+    spans: dict[tuple[int, float, float], tuple[int, set[int]]],
+    bins: Callable[[Column, float, float], Column],
+    found: dict[tuple[int, int], float],
+) -> dict[tuple[int, float, float], tuple[int, set[int]]]:
+    """The spans of the next pass; ranks whose value is known go to ``found``."""
+    places, wanted = [], []
+    for number, ((column, low, high), (below, ranks)) in enumerate(spans.items()):
+        value = F.col(f"c{column}")
+        inside = F.struct(
+            F.lit(number).alias("span"), bins(value, low, high).cast("double").alias("bin"), value.alias("v")
+        )
+        places.append(F.when(value.between(low, high), inside))
+        wanted.append(F.array(*(F.lit(rank - below).cast("long") for rank in sorted(ranks))))
+    counted = (
+        numbers.select(F.inline(F.array_compact(F.array(*places))))
+        .groupBy("span", "bin")
+        .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    )
+    in_order = Window.partitionBy("span").orderBy("bin")
+    held = (
+        counted.withColumn("before", F.sum("n").over(in_order) - F.col("n"))
+        .withColumn("ranks", F.filter(F.get(F.array(*wanted), F.col("span")), lambda r: r.between(F.col("before"), F.col("before") + F.col("n") - 1)))
+        .where(F.size("ranks") > 0)
     )
-    totals = numbers.agg(*(F.count(c).alias(c) for c in columns)).first()
-    medians: dict[str, float | None] = {}
-    for c in columns:
-        if not totals[c]:
-            medians[c] = None
-            continue
-        middle = [(totals[c] - 1) // 2, totals[c] // 2]
-        found = _values_at(numbers.select(F.col(c).alias("v")).filter("v is not null"), middle, totals[c])
-        medians[c] = (found[middle[0]] + found[middle[1]]) / 2
-    return medians
-
-
-def _values_at(numbers: DataFrame, ranks: Sequence[int], total: int) -> dict[int, float]:
-    """The values at neighbouring 0-based ranks of a sorted column ``v``."""
-    found: dict[int, float] = {}
-    wanted, inside, below, count = sorted(set(ranks)), numbers, 0, total
-    v = F.col("v")
-    while wanted:
-        if count <= _READ_ROWS:
-            held = inside.groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v").collect()
-            regions = [(row["v"], row["n"], None) for row in held]
+    keys, after = list(spans), {}
+    for row in held.collect():
+        column, below = keys[row["span"]][0], spans[keys[row["span"]]][0]
+        ranks = {below + r for r in row["ranks"]}
+        if row["low"] == row["high"]:
+            found.update({(column, r): row["low"] for r in ranks})
         else:
-            slack = 2 / _SKETCH_ACCURACY
-            marks = [
-                max(0.0, (wanted[0] - below) / count - slack),
-                min(1.0, (wanted[-1] + 1 - below) / count + slack),
-            ]
-            low, high = inside.agg(F.percentile_approx("v", marks, _SKETCH_ACCURACY).alias("q")).first()["q"]
-            # Both marks are values of the column; what lies between them is open-ended.
-            parts = [
-                (None, v < low),
-                (low, v == low),
-                (None, (v > low) & (v < high)),
-                (high, (v == high) & (v > low)),
-                (None, v > high),
-            ]
-            sizes = inside.agg(*(F.count_if(test).alias(f"n{i}") for i, (_, test) in enumerate(parts))).first()
-            regions = [(value, sizes[f"n{i}"], test) for i, (value, test) in enumerate(parts)]
-        start, narrowed = below, None
-        for value, size, test in regions:
-            held_here = [rank for rank in wanted if start <= rank < start + size]
-            if held_here and value is not None:
-                found.update(dict.fromkeys(held_here, value))
-            elif held_here:
-                narrowed = (inside.filter(test), start, size)
-            start += size
-        wanted = [rank for rank in wanted if rank not in found]
-        if wanted:
-            inside, below, count = narrowed
-    return found
+            after[column, row["low"], row["high"]] = (below + row["before"], ranks)
+    return after
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:

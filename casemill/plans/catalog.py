@@ -560,6 +560,21 @@ def schema_conform(spark, sf_dir):
     )
 
 
+@query
+def schema_misfits(spark, sf_dir):
+    """Values of documents and their labels that a contract of numbers would lose."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.substring("text", 1, 1).alias("head"))
+    return schemas.misfits(docs, {"doc_id": "string", "lang": "int", "source": "double", "head": "int", "absent": "int"})
+
+
+@query
+def median_columns(spark, sf_dir):
+    """Exact medians of several columns at once, of a few distinct values and of many."""
+    lines = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_discount")
+    found = profile.exact_medians(lines, lines.columns)
+    return spark.createDataFrame(list(found.items()), "column_name string, median double")
+
+
 @query
 def sink_roundtrip_parquet(spark, sf_dir):
     path = scratch_folder(spark, "bronze")
@@ -716,6 +731,43 @@ def model_features(spark, sf_dir):
     )
 
 
+@query
+def hash_split_sides(spark, sf_dir):
+    """Both sides of the split; a label in nine has no key and is a test row."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("doc_id") % 9 > 0, F.col("doc_id")).alias("key"))
+    train, test = model.split(labels, model.ModelSpec(key="key"))
+    sides = [part.select("doc_id", F.lit(name).alias("side")) for name, part in (("train", train), ("test", test))]
+    return sides[0].unionByName(sides[1])
+
+
+@query
+def model_vectors(spark, sf_dir):
+    """The other category's index, and the width of the assembled vector."""
+    rows, spec = _quality_rows(spark, sf_dir)
+    prepared = model.prepare(rows, spec)
+    features = Pipeline(stages=model.feature_stages(prepared, spec)).fit(prepared).transform(prepared)
+    return features.select("doc_id", "source_index", F.size(vector_to_array("feature_vector")).alias("width"))
+
+
+@query
+def model_saved_equals_loaded(spark, sf_dir):
+    """Every labelled document scored by a trained model and by its stored copy."""
+    rows, spec = _quality_rows(spark, sf_dir)
+    train, _ = model.split(rows, spec)
+    fitted = model.train(train, spec)["random_forest"]
+    path = scratch_folder(spark, "model")
+    model.save(fitted, path)
+    told = [model.predict(m, rows, "random_forest", VERSION, spec, NOW) for m in (fitted, model.load(path))]
+    given = told[1].select("doc_id", F.col("prediction").alias("again"), F.col("prediction_probability").alias("p_again"))
+    same = (F.col("prediction") == F.col("again")) & (F.col("prediction_probability") == F.col("p_again"))
+    return told[0].join(given, "doc_id").select(
+        "doc_id",
+        "risk_label",
+        F.col("prediction_probability").between(0, 1).cast("int").alias("in_range"),
+        same.cast("int").alias("same"),
+    )
+
+
 @query
 def model_metrics(spark, sf_dir):
     """Both learners trained and tested on whether a labelled document is good."""

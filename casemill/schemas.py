@@ -118,7 +118,7 @@ def conform(df: DataFrame, contract: Mapping[str, str], *, fill_missing: bool =
     """Project ``df`` onto a contract: its columns, order and types.
 
     Text that does not fit the target type becomes null (``try_cast``), so one
-    odd value cannot stop a load. A missing column is an error unless
+    odd value cannot stop a load; ``misfits`` counts them. A missing column is an error unless
     ``fill_missing`` asks for nulls.
     """
     have = dict(df.dtypes)
@@ -135,3 +135,11 @@ def conform(df: DataFrame, contract: Mapping[str, str], *, fill_missing: bool =
             for name, kind in contract.items()
         )
     )
+
+
+def misfits(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
+    """(column_name, misfits): values that ``conform`` would turn to null, in one pass."""
+    shared = [name for name in contract if name in df.columns]
+    lost = (F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(contract[n]).isNull() for n in shared)
+    wide = df.agg(*(F.count_if(test).alias(name) for name, test in zip(shared, lost, strict=True)))
+    return wide.unpivot([], shared, "column_name", "misfits")

@@ -46,7 +46,7 @@ def overwrite_snapshot(df: DataFrame, path: str) -> None:
 def overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
     """Replace only the partitions that occur in ``df``."""
     (
-        df.write.mode("overwrite")
+        gathered(df, partitions).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)

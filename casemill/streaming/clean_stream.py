@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from casemill import schemas, sinks
 from casemill.layout import Zones
 from casemill.operators import clean as ops
-from casemill.operators.dedup import BROADCAST_KEYS, keep_one, new_keys_only
+from casemill.operators.dedup import BROADCAST_BYTES, keep_one, new_keys_only
 from casemill.sources import read_if_present, spread, stream_source
 from casemill.spec import CleanSpec, DedupMode, StreamSpec
 
@@ -36,7 +36,7 @@ def write_silver(
     batch_id: int,
     *,
     against_stored: bool,
-    broadcast_keys: int = BROADCAST_KEYS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
     """Deduplicate one batch of typed rows and store it, replacing an earlier attempt.
 
@@ -51,7 +51,7 @@ def write_silver(
         return
     rows = rows.persist(StorageLevel.DISK_ONLY)
     try:
-        fresh = new_keys_only(rows, stored, "report_id", broadcast_keys=broadcast_keys)
+        fresh = new_keys_only(rows, stored, "report_id", broadcast_bytes=broadcast_bytes)
         sinks.replace_batch(fresh, zones.silver, run_id, batch_id, "batch_number", gather=True)
     finally:
         rows.unpersist()
@@ -135,6 +135,7 @@ def run_clean_stream(
     delay: str = "1 day",
     trigger: Mapping[str, object] | None = None,
     now=None,
+    keep: bool = True,
     name: str = "clean_stream",
 ) -> list[StreamingQuery]:
     """Start cleaning and return the running queries.
@@ -153,7 +154,8 @@ def run_clean_stream(
 
     The two stateful modes need a second query, as state can only drop rows for
     silver and must not drop them for bronze. Give them a RocksDB state store
-    (``session.build`` does), so that ids spill to disk. ``trigger`` defaults to working
+    (``session.build`` does), so that ids spill to disk. ``keep`` is that of
+    ``write_batch``: turn it off for batches without a bound. ``trigger`` defaults to working
     through what is there and stopping; a service passes ``processingTime``.
     """
     trigger = dict(trigger or {"availableNow": True})
@@ -161,7 +163,7 @@ def run_clean_stream(
     stateful = dedup in ("state", "watermark")
 
     def zone_batch(batch: DataFrame, run_id: str, batch_id: int) -> None:
-        write_batch(spread(batch), zones, run_id, batch_id, spec, dedup=dedup, now=now, silver=not stateful)
+        write_batch(spread(batch), zones, run_id, batch_id, spec, dedup=dedup, now=now, keep=keep, silver=not stateful)
 
     queries = [_start(messages, f"{zones.checkpoints}/{name}", trigger, zone_batch)]
     if stateful:

@@ -159,7 +159,7 @@ def test_column_selection(spark):
     assert profile.with_values(df, ["a", "c"]) == []
 
 
-@pytest.mark.parametrize("limit", [50_000, 20])
+@pytest.mark.parametrize("bins", [1 << 16, 8])
 @pytest.mark.parametrize(
     "values",
     [
@@ -169,13 +169,17 @@ def test_column_selection(spark):
         [float(i % 7) for i in range(501)],
         [float((i * 7919) % 10007) / 3 for i in range(5000)],
         [-3.0] * 400 + [8.0] * 400,
+        [-1.7e308, -1.6e308, 1.6e308, 1.7e308],
+        [5e-324 * i for i in range(6)] + [-1e-300],
+        [float("-inf")] * 3 + [2.5, 2.5000000001] + [float("inf")] * 3,
+        [-0.0, 0.0, 0.0],
     ],
 )
-def test_exact_median(spark, monkeypatch, values, limit):
-    monkeypatch.setattr(profile, "_READ_ROWS", limit)
+def test_exact_median(spark, monkeypatch, values, bins):
+    monkeypatch.setattr(profile, "_BINS", bins)
     df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
     want = sorted(values)
-    middle = (want[(len(want) - 1) // 2] + want[len(want) // 2]) / 2
+    middle = want[(len(want) - 1) // 2] / 2 + want[len(want) // 2] / 2 if len(want) % 2 == 0 else want[len(want) // 2]
     assert profile.exact_medians(df, ["v"]) == {"v": middle}
 
 
@@ -193,6 +197,21 @@ def test_quality(spark):
     }
 
 
+def test_medians_share_their_passes(spark, monkeypatch):
+    passes = []
+    real = profile._narrowed
+    monkeypatch.setattr(profile, "_narrowed", lambda *a: passes.append(1) or real(*a))
+    df = spark.range(20_001).select(*(((F.col("id") * k) % 20_001).cast("double").alias(f"v{k}") for k in (1, 2, 5)))
+    assert profile.exact_medians(df, df.columns) == dict.fromkeys(df.columns, 10_000.0)
+    assert len(passes) <= 3
+
+
+def test_misfits(spark):
+    df = spark.createDataFrame([("1", "x"), ("y", None), (None, "2")], "a string, b string")
+    got = {r.column_name: r.misfits for r in schemas.misfits(df, {"a": "int", "b": "double", "c": "int"}).collect()}
+    assert got == {"a": 1, "b": 1}
+
+
 def test_median_of_nothing(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
     assert profile.exact_medians(df, ["a", "b"]) == {"a": None, "b": 2.0}

@@ -71,6 +71,15 @@ def test_only_touched_partitions_are_replaced(spark, tmp_path):
     assert got == {0: 1, 1: 3, 2: 3}
 
 
+def test_overwritten_partitions_have_few_files(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = spark.range(8_000, numPartitions=16).select("id", (F.col("id") % 10).alias("day"))
+    sinks.overwrite_partitions(rows, path, "day")
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert read_table(spark, path).count() == 8_000
+    assert len(files) == 10
+
+
 @pytest.mark.parametrize("session_mode", ["static", "dynamic"])
 def test_replayed_batch_replaces_itself(spark, tmp_path, session_mode):
     path = str(tmp_path / "b")

@@ -140,17 +140,26 @@ def test_unheld_batch_gives_the_same_rows(spark, tmp_path, zones):
     assert silver(spark, zones) == want
 
 
+def test_unheld_stream_gives_the_same_rows(spark, tmp_path, zones):
+    inbox = str(tmp_path / "inbox")
+    land(spark, inbox, RECORDS.values())
+    run(spark, inbox, zones, keep=False)
+    want = sorted(r.report_id for r in clean.clean(messages(spark), now=NOW).clean.collect())
+    assert silver(spark, zones) == want
+    assert read_table(spark, zones.bronze).count() == len(RECORDS)
+
+
 def test_clean_batch_leaves_no_quarantine(spark, zones):
     rows = spark.createDataFrame([(envelope(KEYS[0], 0),)], "value string")
     write_batch(rows, zones, "run-a", 0, now=NOW)
     assert read_if_present(spark, zones.quarantine) is None
 
 
-@pytest.mark.parametrize("broadcast_keys", [0, 1_000_000])
-def test_both_ways_to_find_new_keys_agree(spark, zones, broadcast_keys):
+@pytest.mark.parametrize("broadcast_bytes", [0, 1_000_000])
+def test_both_ways_to_find_new_keys_agree(spark, zones, broadcast_bytes):
     write_batch(messages(spark, dict(a=KEYS[0])), zones, "run-a", 0, now=NOW)
     typed = clean.typed_rows(clean.parse(messages(spark, dict(enumerate(KEYS)))), now=NOW)
-    clean_stream.write_silver(typed, zones, "run-a", 1, against_stored=True, broadcast_keys=broadcast_keys)
+    clean_stream.write_silver(typed, zones, "run-a", 1, against_stored=True, broadcast_bytes=broadcast_bytes)
     assert silver(spark, zones) == ["a", "b"]
 
 
