@@ -159,7 +159,7 @@ def test_column_selection(spark):
     assert profile.with_values(df, ["a", "c"]) == []
 
 
-@pytest.mark.parametrize("bins", [1 << 16, 8])
+@pytest.mark.parametrize("bins", [1 << 12, 8])
 @pytest.mark.parametrize(
     "values",
     [
