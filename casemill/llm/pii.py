@@ -2,11 +2,13 @@
 
 The base kinds are found by pattern. Beside them every place of the form cue, sign, value
 (``token = "..."``, ``phone: ...``) is an occurrence of a lexical pattern (cue, sign, quote)
-with an instance (the value). Base finds and long random strings are the seeds. Spark scores
-the graph of patterns and instances in rounds: a pattern is worth the mean worth of its
+with an instance (the value). So is every identifier-like value in running text ("call me at
++1 ..."), with its one to three words to the left and its one or two to the right as patterns.
+A base find is an instance as a whole, blanks included. Base finds and long random strings are
+the seeds. Spark scores the graph of patterns and instances in rounds: a pattern is worth the mean worth of its
 distinct instances, drawn towards nothing where it has few; an instance that is no seed is
 worth as much as its best pattern. A pattern of high worth then marks all its values as
-identifiers of its kind, seen before or not.
+identifiers of its kind, seen before or not; one of words marks those of the shape of its kind.
 """
 
 from __future__ import annotations
@@ -34,9 +36,20 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
+_LETTER = re.compile("[^\\W0-9_]")
 _SIGN = re.compile("[:=]")
-_CUE = re.compile(r"([A-Za-z][A-Za-z0-9_-]*)[ \t]{0,3}\Z")
-_VALUE = re.compile(r"[ \t]{0,3}([\"']?)([^\s\"',;]{4,})")
+_CUE = re.compile(r"([A-Za-z][A-Za-z0-9_-]*)([\"']?)[ \t]{0,3}\Z")
+_LEAD = re.compile(r"[ \t]{0,3}([\"']?)")
+_VALUE = re.compile(r"[^\s\"',;]*+")
+# Values in running text: runs that hold a digit or an @, numbers in groups, and IPv6 addresses.
+_RUN = re.compile(
+    r"(?<![^\s\"'`<>(){}\[\],;:|=&?#])[^0-9@\s\"'`<>(){}\[\],;:|=&?#]*+[0-9@][^\s\"'`<>(){}\[\],;:|=&?#]*+"
+    r"(?:={1,2}(?![^\s\"'`<>(){}\[\],;:|&?#]))?"
+)
+_NUMBER = re.compile(r"(?<![\w.+@-])(?:\+[0-9]{1,3}[ ().-]{0,3})?\(?[0-9]{2,}+(?:[ ().+/-]{1,3}[0-9]{2,}+)*+(?![\w@])")
+_IP6 = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{0,4}(?![\w:])")
+_WORD = re.compile(r"\w+")
+NEAR = 96  # characters on each side in which the words beside a value are sought
 _RANDOM = re.compile(r"(?=.*[0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_-]{24,}={0,2})\Z")
 _LIKELY = re.compile(r"(?=.*[0-9]).{6,}\Z", re.S)
 
@@ -85,10 +98,62 @@ def _digits(text: str) -> str:
     return "".join(_DIGIT.findall(text))
 
 
+def _covering(base: list[tuple[int, int, int]], widest: int, start: int, end: int) -> tuple[int, int, int] | None:
+    """The first base span that touches the place."""
+    for i in range(bisect_left(base, (start - widest,)), len(base)):
+        if base[i][0] >= end:
+            return None
+        if base[i][2] > start:
+            return base[i]
+    return None
+
+
+def _grouped(text: str, start: int, end: int | None = None) -> re.Match | None:
+    """A number of 7 to 19 digits at this place, which may have blanks."""
+    found = _NUMBER.match(text, start, len(text) if end is None else end)
+    return found if found and 7 <= len(_digits(found[0])) <= 19 else None
+
+
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str | None]]:
+    """(start, end, seed kind or None) of the values in running text: base spans as a whole, and others by shape."""
+    found = [(a, b, KINDS[k]) for a, k, b in base]
+    if not ("@" in text or _DIGIT.search(text) or "::" in text):
+        return found
+    widest = max((b - a for a, _, b in base), default=0)
+    for m in _RUN.finditer(text):
+        run = m[0].rstrip(".!*~")
+        start = m.start() + len(run) - len(run := run.lstrip(".!*~"))
+        end = start + len(run)
+        random = _RANDOM.match(text, start, end)
+        if not random and (len(run) < 6 or not _LETTER.search(run) or _covering(base, widest, start, end)):
+            continue
+        found.append((start, end, "secret" if random else None))
+    for m in _IP6.finditer(text):
+        if _DIGIT.search(m[0]) and not _covering(base, widest, *m.span()):
+            found.append((*m.span(), None))
+    gaps = zip([0, *(b for _, _, b in base)], [*(a for a, _, _ in base), len(text)], strict=True)
+    for left, right in gaps:
+        for m in _NUMBER.finditer(text, left, right):
+            if 7 <= len(_digits(m[0])) <= 19:
+                found.append((*m.span(), None))
+    return found
+
+
+def beside(text: str, start: int, end: int) -> Iterator[str]:
+    """The patterns of a place in running text: its neighbouring words, each with a blank for the value's side."""
+    left = _WORD.findall(text[max(0, start - NEAR) : start].lower())[-3:]
+    right = _WORD.findall(text[end : end + NEAR].lower())[:2]
+    for n in range(1, len(left) + 1):
+        yield " ".join(left[-n:]) + " _"
+    for n in range(1, len(right) + 1):
+        yield "_ " + " ".join(right[:n])
+
+
 def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
-    """(pattern, value, start, end, seed kind or None) of each cue, sign and value.
+    """(pattern, value, start, end, seed kind or None) of each cue, sign and value, then of each value and its neighbours.
 
-    A value goes on to the end of its run, however long. A sign within a value starts
+    A value goes on to the end of its run, however long, or to the end of the base span or
+    number in groups that begins there. A sign within a value starts
     another, to the same end, if that one has no more than ``NESTED`` characters: the
     values of a text then take no more room than a multiple of the text.
     """
@@ -103,15 +168,21 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
             if not 4 <= end - start <= NESTED:
                 continue
         else:
-            value = _VALUE.match(text, sign.end())
-            if not value:
+            lead = _LEAD.match(text, sign.end())
+            quote, start = lead[1], lead.end()
+            end = _VALUE.match(text, start).end()
+            whole = _covering(base, widest, start, start + 1)
+            number = None if whole else _grouped(text, start)
+            if end - start < 4 and not whole and not number:
                 continue
-            quote, (start, end) = value[1], value.span(2)
+            end = max(end, whole[2] if whole else 0, number.end() if number else 0)
             reach = end
-        near = base[bisect_left(base, (start - widest,)) : bisect_left(base, (end,))]
-        kinds = [KINDS[k] for _, k, b in near if b > start]
-        kind = kinds[0] if kinds else "secret" if _RANDOM.match(text, start, end) else None
-        found.append((f"{cue[1].lower()}{sign[0]}{quote}", text[start:end], start, end, kind))
+        near = _covering(base, widest, start, end)
+        kind = KINDS[near[1]] if near else "secret" if _RANDOM.match(text, start, end) else None
+        found.append((f"{cue[1].lower()}{cue[2]}{sign[0]}{quote}", text[start:end], start, end, kind))
+    for start, end, kind in candidates(text, base):
+        value = text[start:end]
+        found.extend((pattern, value, start, end, kind) for pattern in beside(text, start, end))
     return found
 
 
@@ -144,17 +215,27 @@ def _found(docs: DataFrame, text: str, key: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text), F.xxhash64(text)).mapInArrow(run, FOUND)
 
 
+# Of the values beside worthy words, those that look like the kind.
+SHAPED = r"""CASE kind WHEN 'email' THEN contains(value, '@')
+    WHEN 'ip' THEN value RLIKE '^([0-9]+[.]){3}[0-9]+$|^([0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{0,4}$'
+    WHEN 'secret' THEN value RLIKE '[A-Za-z]' AND NOT contains(value, '@')
+    ELSE value RLIKE '^[ 0-9().+/-]+$' END"""
+
+
 def worthy_patterns(places: DataFrame, rounds: int = ROUNDS, worth: float = WORTH) -> DataFrame:
     """(pattern, kind) whose values are identifiers, from ``places`` (pattern, value, seed)."""
-    links = stored(places.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "links")
-    sizes = links.groupBy("pattern").agg(F.count("*").alias("n"))
-    seeds = links.where("seed IS NOT NULL").groupBy("value", F.col("seed").alias("kind")).agg(F.lit(1.0).alias("s"))
+    known = F.array(*map(F.lit, sorted(KINDS)))  # as numbers, so that a hash table counts them where they are found
+    seed = F.max(F.array_position(known, F.col("seed")).cast("int"))
+    pairs = stored(places.groupBy("pattern", "value").agg(seed.alias("k")), "pairs")
+    # A pattern of one value gives it back less than it has, so those change nothing.
+    sizes = pairs.groupBy("pattern").agg(F.count("*").alias("n")).where("n > 1")
+    links = stored(pairs.join(sizes, "pattern"), "links")
+    told = pairs.where("k IS NOT NULL").select("value", F.get(known, F.col("k") - 1).alias("kind")).distinct()
+    seeds = stored(told.join(links.select("value").distinct(), "value", "left_semi").withColumn("s", F.lit(1.0)), "seeds")
     instances = seeds
     for _ in range(rounds):
-        scored = links.select("pattern", "value").join(instances, "value").groupBy("pattern", "kind").agg(F.sum("s").alias("s"))
-        patterns = stored(
-            scored.join(sizes, "pattern").select("pattern", "kind", (F.col("s") / (F.col("n") + PRIOR)).alias("p")), "patterns"
-        )
+        scored = links.join(instances, "value").groupBy("pattern", "n", "kind").agg(F.sum("s").alias("s"))
+        patterns = stored(scored.select("pattern", "kind", (F.col("s") / (F.col("n") + PRIOR)).alias("p")), "patterns")
         told = links.join(patterns, "pattern").groupBy("value", "kind").agg(F.max("p").alias("s"))
         instances = told.unionByName(seeds).groupBy("value", "kind").agg(F.max("s").alias("s"))
     best = F.max_by("kind", F.struct("p", "kind")).alias("kind")
@@ -173,6 +254,7 @@ def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     marked = (
         places.where(F.col("value").rlike(_LIKELY.pattern.replace(r"\Z", "$")))
         .join(worthy_patterns(places), "pattern")
+        .where(f"NOT contains(pattern, ' ') OR {SHAPED}")
         .groupBy("row")
         .agg(F.collect_set(F.struct("start", "end", "kind")).alias("more"))
     )

@@ -131,3 +131,26 @@ def test_table(spark):
 
 def test_empty_table(spark, tmp_path):
     assert as_query(spark, table(spark, []), pii.op8_pii, tmp_path) == []
+
+
+def test_running_text_patterns(spark):
+    calls = [f"please call me at +1 (017) 555-{i:04d} now" for i in range(12)]
+    texts = [*calls, "please call me at 0175 550 199 now", "call me at noon4567x now"]
+    rows = {r["doc_id"]: r["spans"] for r in pii.personal_data(table(spark, texts)).collect()}
+    assert rows[12] == "phone:18:30"
+    assert rows[13] == ""
+
+
+def test_json_and_blanks(spark):
+    tokens = [f'{{"token": "{hashlib.sha1(str(i).encode()).hexdigest()}"}}' for i in range(12)]
+    phones = [f"phone: +1 (017) 555-{i:04d}" for i in range(12)]
+    texts = [*tokens, '{"token": "abc123def"}', *phones, "phone: 0175 550 199"]
+    rows = {r["doc_id"]: r["spans"] for r in pii.personal_data(table(spark, texts)).collect()}
+    assert rows[12] == "secret:11:20"
+    assert rows[25] == "phone:7:19"
+    assert pii.occurrences(texts[13], pii.base_spans(texts[13]))[0][:2] == ("phone:", "+1 (017) 555-0000")
+
+
+def test_candidates_take_linear_time():
+    for text in ("x" * 300_000, "1 " * 150_000, "a1" * 150_000, "::" * 150_000, "12 34 " * 50_000, "@" * 300_000, "a=" * 150_000):
+        pii.candidates(text, pii.base_spans(text))
