@@ -14,8 +14,9 @@ identifiers of its kind, seen before or not; one of words marks those of the sha
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ KINDS = ("email", "ip", "card", "phone", "secret")  # the order in which spans o
 ROUNDS = 3
 PRIOR = 2.0  # instances of no worth that every pattern is credited with
 WORTH = 0.6  # of a pattern that marks its values
-NESTED = 200  # longest value that may stand within another value
+NAMED = 200  # characters beyond which a hash stands for a value
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -41,6 +42,9 @@ _SIGN = re.compile("[:=]")
 _CUE = re.compile(r"([A-Za-z][A-Za-z0-9_-]*)([\"']?)[ \t]{0,3}\Z")
 _LEAD = re.compile(r"[ \t]{0,3}([\"']?)")
 _VALUE = re.compile(r"[^\s\"',;]*+")
+# Where a value within another one ends: before the next parameter, in an address at any delimiter.
+_PARAMETER = re.compile(r"[&?#](?=[A-Za-z][A-Za-z0-9_.-]*+=)")
+_DELIMITER = re.compile("[&?#]")
 # Values in running text: runs that hold a digit or an @, numbers in groups, and IPv6 addresses.
 _RUN = re.compile(
     r"(?<![^\s\"'`<>(){}\[\],;:|=&?#])[^0-9@\s\"'`<>(){}\[\],;:|=&?#]*+[0-9@][^\s\"'`<>(){}\[\],;:|=&?#]*+"
@@ -149,26 +153,55 @@ def beside(text: str, start: int, end: int) -> Iterator[str]:
         yield "_ " + " ".join(right[:n])
 
 
+def _names(text: str, starts: list[int], end: int) -> dict[int, str]:
+    """A short name of ``text[start:end]`` for each start, the first and those behind each sign, in one pass.
+
+    Equal values have equal names. A name has a digit or an @ if its value has one.
+    """
+    names, chain, digit, at = {}, b"", False, False
+    for start, stop in zip(reversed(starts), [end, *reversed(starts)], strict=False):
+        part = text[start:stop]
+        chain = blake2b(part.encode() + chain, digest_size=16).digest()
+        digit, at = digit or bool(_DIGIT.search(part)), at or "@" in part
+        spelled = "".join(chr(97 + (byte >> 4)) + chr(97 + (byte & 15)) for byte in chain)
+        names[start] = f"# {spelled}{'0' * digit}{'@' * at}"
+    return names
+
+
+def named(value: str) -> str:
+    """The value, or a name for it if it is long."""
+    if len(value) <= NAMED:
+        return value
+    starts = [0, *(m.end() for m in _SIGN.finditer(value) if m.end() < len(value))]
+    return _names(value, starts, len(value))[0]
+
+
 def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
     """(pattern, value, start, end, seed kind or None) of each cue, sign and value, then of each value and its neighbours.
 
     A value goes on to the end of its run, however long, or to the end of the base span or
-    number in groups that begins there. A sign within a value starts
-    another, to the same end, if that one has no more than ``NESTED`` characters: the
-    values of a text then take no more room than a multiple of the text.
+    number in groups that begins there. A sign within a value starts another, to the next
+    parameter or else to the same end; if it is long, its name is given, so that the values
+    of a text take no more room than a multiple of the text.
     """
-    found, reach = [], 0
+    found, reach, stop, url, names = [], 0, 0, False, {}
     widest = max((b - a for a, _, b in base), default=0)
-    for sign in _SIGN.finditer(text):
-        cue = _CUE.search(text, max(0, sign.start() - 48), sign.start())
+    signs = [m.end() for m in _SIGN.finditer(text)]
+    for i, after in enumerate(signs):
+        cue = _CUE.search(text, max(0, after - 49), after - 1)
         if not cue:
             continue
-        if sign.end() < reach:
-            quote, start, end = "", sign.end(), reach
-            if not 4 <= end - start <= NESTED:
+        inner = after < reach
+        if inner:
+            quote, start = "", after
+            if stop < start:
+                delimiter = (_DELIMITER if url else _PARAMETER).search(text, start, reach)
+                stop, names = delimiter.start() if delimiter else reach, {}
+            end = stop
+            if end - start < 4:
                 continue
         else:
-            lead = _LEAD.match(text, sign.end())
+            lead = _LEAD.match(text, after)
             quote, start = lead[1], lead.end()
             end = _VALUE.match(text, start).end()
             whole = _covering(base, widest, start, start + 1)
@@ -176,10 +209,19 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
             if end - start < 4 and not whole and not number:
                 continue
             end = max(end, whole[2] if whole else 0, number.end() if number else 0)
-            reach = end
+            reach, stop, url = end, 0, text.find("://", after - 1, end) >= 0
+        if inner and end - start > NAMED:
+            if start not in names:
+                names = _names(text, signs[i : bisect_left(signs, end)], end)
+            value = names[start]
+        else:
+            value = text[start:end]
         near = _covering(base, widest, start, end)
-        kind = KINDS[near[1]] if near else "secret" if _RANDOM.match(text, start, end) else None
-        found.append((f"{cue[1].lower()}{cue[2]}{sign[0]}{quote}", text[start:end], start, end, kind))
+        # A sign before the closing ones rules a random string out.
+        later = bisect_right(signs, start)
+        plain = later == len(signs) or signs[later] > end - 2
+        kind = KINDS[near[1]] if near else "secret" if plain and _RANDOM.match(text, start, end) else None
+        found.append((f"{cue[1].lower()}{cue[2]}{text[after - 1]}{quote}", value, start, end, kind))
     for start, end, kind in candidates(text, base):
         value = text[start:end]
         found.extend((pattern, value, start, end, kind) for pattern in beside(text, start, end))
@@ -206,7 +248,7 @@ def _found(docs: DataFrame, text: str, key: str) -> DataFrame:
                 spans_here = base_spans(whole)
                 base.append([dict(zip(("start", "kind", "end"), s, strict=True)) for s in spans_here])
                 names = ("pattern", "value", "start", "end", "seed")
-                seen.append([dict(zip(names, o, strict=True)) for o in occurrences(whole, spans_here)])
+                seen.append([dict(zip(names, (p, named(v), *o), strict=True)) for p, v, *o in occurrences(whole, spans_here)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(base, spans), pa.array(seen, places)],
                 ["doc_id", "hash", "base", "seen"],

@@ -154,3 +154,29 @@ def test_json_and_blanks(spark):
 def test_candidates_take_linear_time():
     for text in ("x" * 300_000, "1 " * 150_000, "a1" * 150_000, "::" * 150_000, "12 34 " * 50_000, "@" * 300_000, "a=" * 150_000):
         pii.candidates(text, pii.base_spans(text))
+
+
+def test_long_nested_values(spark):
+    secret = lambda i: (hashlib.sha512(str(i).encode()).hexdigest() + "y") * 3
+    texts = [f'token={hashlib.sha1(str(i).encode()).hexdigest()}' for i in range(12)]
+    texts += [
+        f"https://x/cb?state=1&token={secret(1)}",
+        f"https://x/cb?state=1&token=abc123def&next={'x1' * 200}#{secret(2)}",
+        f"config:token={secret(3)}",
+    ]
+    rows = {r["doc_id"]: r["spans"] for r in pii.personal_data(table(spark, texts)).collect()}
+    assert rows[12] == f"secret:27:{27 + len(secret(1))}"
+    assert rows[13] == "secret:27:36"
+    assert f"secret:13:{13 + len(secret(3))}" in rows[14]
+
+
+def test_names_of_long_values():
+    value = "ab:cd=" + "e1" * 200 + "=f@g" + "x" * 300
+    text = f"see a:b=t={value} end"
+    places = {p: v for p, v, *_ in pii.occurrences(text, [])}
+    assert places["t="] == pii.named(value) and len(places["t="]) < 50
+    assert pii.named(value) != pii.named(value + "y") and pii.named("short") == "short"
+    texts = ["a=" * 200_000, "a:" * 200_000, "https://x?" + "a=1234&" * 60_000, "http://" + "a=1.2.3.4/" * 30_000]
+    for text in texts:
+        places = pii.occurrences(text, pii.base_spans(text))
+        assert len(places) > 29_000 and sum(len(v) for _, v, *_ in places) < 100 * len(text)
