@@ -220,7 +220,7 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
         # A sign before the closing ones rules a random string out.
         later = bisect_right(signs, start)
         plain = later == len(signs) or signs[later] > end - 2
-        kind = KINDS[near[1]] if near else "secret" if plain and _RANDOM.match(text, start, end) else None
+        kind = "secret" if plain and _RANDOM.match(text, start, end) else KINDS[near[1]] if near else None
         found.append((f"{cue[1].lower()}{cue[2]}{text[after - 1]}{quote}", value, start, end, kind))
     for start, end, kind in candidates(text, base):
         value = text[start:end]
@@ -287,8 +287,8 @@ def worthy_patterns(places: DataFrame, rounds: int = ROUNDS, worth: float = WORT
 def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, counts of the base kinds, base_sha256, spans, marks and hash (of the text), one row per row.
 
-    ``marks`` are all spans as (start, end, kind) in order, discovered ones only where they
-    touch no base span. A null or empty text has none. Null and repeated ids are rows like
+    ``marks`` are all spans as (start, end, kind) in order, discovered ones unless
+    they equal a base span; they may overlap. A null or empty text has none. Null and repeated ids are rows like
     any other.
     """
     rows = stored(_found(docs, text, key).withColumn("row", F.monotonically_increasing_id()), "found")
@@ -305,7 +305,7 @@ def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     order = lambda s: F.struct(
         s["start"].alias("start"), (F.array_position(names, s["kind"]) - 1).cast("int").alias("order"), s["end"].alias("end")
     )
-    free = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
+    free = lambda s: ~F.exists("base", lambda b: (b["start"] == s["start"]) & (b["end"] == s["end"]))
     said = lambda s: F.concat_ws(":", F.get(names, s["order"]), s["start"], s["end"])
     joined = rows.select("row", "doc_id", "hash", "base").join(marked, "row", "left")
     own = F.transform("base", named)
@@ -322,7 +322,10 @@ def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
 
 
 def redacted(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with each span of ``text`` replaced by its kind in angle brackets; other texts as they are."""
+    """``docs`` with each span of ``text`` replaced by its kind in angle brackets; other texts as they are.
+
+    Spans that overlap are replaced as one, by the kind of the first.
+    """
     marks = personal_data(docs, text, key).where(F.size("marks") > 0).select("doc_id", "hash", "marks")
     marks = marks.dropDuplicates(["doc_id", "hash"])  # repeated rows have the same marks
     rows = docs.select(F.struct(*docs.columns).alias("d"), F.xxhash64(text).alias("h"))

@@ -180,3 +180,17 @@ def test_names_of_long_values():
     for text in texts:
         places = pii.occurrences(text, pii.base_spans(text))
         assert len(places) > 29_000 and sum(len(v) for _, v, *_ in places) < 100 * len(text)
+
+
+def test_discovered_spans_beside_base_spans(spark):
+    inner = "abcdef0123f" + "4111111111111111" + "fabcdef01234c"
+    assert len(inner) == 40 and [(a, k) for a, k, _ in pii.base_spans(inner)] == [(11, 2)]
+    texts = [f'token = "{hashlib.sha1(str(i).encode()).hexdigest()}"' for i in range(12)]
+    texts += [f'token = "{inner}"', 'token = "9!x.y@host.org!8"']
+    frame = table(spark, texts)
+    rows = {r["doc_id"]: r["spans"] for r in pii.personal_data(frame).collect()}
+    assert rows[12].split(",") == ["secret:9:49", f"card:20:{20 + 16}"]
+    assert rows[13].split(",")[0] == "secret:9:25" and "email:11:23" in rows[13]
+    assert [o[4] for o in pii.occurrences(texts[12], pii.base_spans(texts[12]))][0] == "secret"
+    clean = {r["doc_id"]: r["text"] for r in pii.redacted(frame).collect()}
+    assert clean[12] == clean[13] == 'token = "<SECRET>"'
