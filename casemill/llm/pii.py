@@ -7,7 +7,8 @@ with an instance (the value). So is every identifier-like value in running text
 A base find is an instance as a whole, blanks included. Base finds and long random strings are
 the seeds. Spark scores the graph of patterns and instances in rounds: a pattern is worth the mean worth of its
 distinct instances, drawn towards nothing where it has few; an instance that is no seed is
-worth as much as its best pattern. A pattern of high worth then marks all its values as
+worth as much as its best pattern. A pattern of high worth then marks its values of six or more
+characters with a digit, those with an @ for e-mail and, if it is a sure cue and sign of secrets, all as
 identifiers of its kind, seen before or not; one of words marks those of the shape of its kind.
 """
 
@@ -27,7 +28,8 @@ from casemill.llm.text import slices, stored
 KINDS = ("email", "ip", "card", "phone", "secret")  # the order in which spans of one start stand
 ROUNDS = 3
 PRIOR = 2.0  # instances of no worth that every pattern is credited with
-WORTH = 0.6  # of a pattern that marks its values
+WORTH = 0.6  # of a pattern that marks its values of six characters or more with a digit
+SURE = 0.8  # of a pattern of cue and sign for secrets that marks all its values
 NAMED = 200  # characters beyond which a hash stands for a value
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -264,8 +266,13 @@ SHAPED = r"""CASE kind WHEN 'email' THEN contains(value, '@')
     ELSE value RLIKE '^[ 0-9().+/-]+$' END"""
 
 
+# What needs no digit and may be short.
+SPARED = f"""CASE kind WHEN 'email' THEN contains(value, '@')
+    WHEN 'secret' THEN worth >= {SURE} AND NOT contains(pattern, ' ') ELSE false END"""
+
+
 def worthy_patterns(places: DataFrame, rounds: int = ROUNDS, worth: float = WORTH) -> DataFrame:
-    """(pattern, kind) whose values are identifiers, from ``places`` (pattern, value, seed)."""
+    """(pattern, kind, worth) whose values are identifiers, from ``places`` (pattern, value, seed)."""
     known = F.array(*map(F.lit, sorted(KINDS)))  # as numbers, so that a hash table counts them where they are found
     seed = F.max(F.array_position(known, F.col("seed")).cast("int"))
     pairs = stored(places.groupBy("pattern", "value").agg(seed.alias("k")), "pairs")
@@ -280,8 +287,8 @@ def worthy_patterns(places: DataFrame, rounds: int = ROUNDS, worth: float = WORT
         patterns = stored(scored.select("pattern", "kind", (F.col("s") / (F.col("n") + PRIOR)).alias("p")), "patterns")
         told = links.join(patterns, "pattern").groupBy("value", "kind").agg(F.max("p").alias("s"))
         instances = told.unionByName(seeds).groupBy("value", "kind").agg(F.max("s").alias("s"))
-    best = F.max_by("kind", F.struct("p", "kind")).alias("kind")
-    return patterns.where(F.col("p") >= worth).groupBy("pattern").agg(best)
+    best = F.max_by("kind", F.struct("p", "kind")).alias("kind"), F.max("p").alias("worth")
+    return patterns.where(F.col("p") >= worth).groupBy("pattern").agg(*best)
 
 
 def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -294,8 +301,8 @@ def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     rows = stored(_found(docs, text, key).withColumn("row", F.monotonically_increasing_id()), "found")
     places = rows.select("row", F.explode("seen").alias("s")).select("row", "s.*")
     marked = (
-        places.where(F.col("value").rlike(_LIKELY.pattern.replace(r"\Z", "$")))
-        .join(worthy_patterns(places), "pattern")
+        places.join(worthy_patterns(places), "pattern")
+        .where(F.col("value").rlike(_LIKELY.pattern.replace(r"\Z", "$")) | F.expr(SPARED))
         .where(f"NOT contains(pattern, ' ') OR {SHAPED}")
         .groupBy("row")
         .agg(F.collect_set(F.struct("start", "end", "kind")).alias("more"))

@@ -194,3 +194,13 @@ def test_discovered_spans_beside_base_spans(spark):
     assert [o[4] for o in pii.occurrences(texts[12], pii.base_spans(texts[12]))][0] == "secret"
     clean = {r["doc_id"]: r["text"] for r in pii.redacted(frame).collect()}
     assert clean[12] == clean[13] == 'token = "<SECRET>"'
+
+
+def test_sure_patterns_mark_all_values(spark):
+    words = [f'password="{hashlib.sha1(str(i).encode()).hexdigest()}"' for i in range(12)]
+    mails = [f"contact: a{i}@b.org" for i in range(12)]
+    texts = [*words, 'password="correcthorse"', *mails, "contact: root@localhost", "contact: nobody"]
+    rows = {r["doc_id"]: r["spans"] for r in pii.personal_data(table(spark, texts)).collect()}
+    assert rows[12] == "secret:10:22"
+    assert rows[25] == "email:9:23"
+    assert rows[26] == ""
