@@ -113,6 +113,18 @@ NOTICES = (
     ("warranty", 1, 0.4, "warranty", r"without any warranty"),
 )
 
+# Identifiers with a suffix, which a rule for the bare name would cut short.
+SUFFIXED = (
+    ("bsd-2-clause", r"bsd 2 clause(?: (?:patent|views|first lines|freebsd|netbsd|darwin))?"),
+    ("bsd-3-clause", r"bsd 3 clause(?: (?:clear|lbnl|modification|attribution|open mpi|flex|hp|sun|acpica|no nuclear license(?: 2014)?|no nuclear warranty|no military license))?"),
+    ("bsd-4-clause", r"bsd 4 clause(?: (?:uc|shortened))?"),
+    ("bsd", r"bsd (?:1 clause|source code|protection|systemics|attribution hpnd disclaimer)"),
+    ("mit", r"mit (?:0|cmu|advertising|enna|feh|festival|modern variant|open group|wu|testregex|click|khronos old)"),
+    ("cc0", r"cc0(?: 1 0)?"),
+    ("isc", r"isc veillard"),
+    ("zlib", r"zlib acknowledgement"),
+)
+
 
 def _version(words: str) -> str:
     """A version with or without its closing zeros."""
@@ -148,6 +160,8 @@ def signatures() -> list[Signature]:
             found.append((full, 8, 0.9, "commons", f"creative commons {long} {_version(port)}(?: \\w+)? licen[cs]e"))
             found.append((full, 9, 0.99, "spdx", f"spdx license identifier cc {short} {_version(port)}"))
     found += NOTICES
+    for label, short in SUFFIXED:
+        found.append((label, 9, 0.99, "spdx", f"spdx license identifier {short}"))
     return [Signature(i, *rest) for i, rest in enumerate(found)]
 
 

@@ -105,3 +105,9 @@ def test_plan_has_no_python(spark):
     plan = licenses.gated(frame, "text", "doc_id").withColumn("row", F.lit(1))
     for part in (plan, licenses.detections(plan)):
         assert not re.search("Python|Pandas|Arrow", part._jdf.queryExecution().toString())
+
+
+def test_identifiers_with_suffixes(spark):
+    texts = [f"SPDX-License-Identifier: {x}" for x in ("BSD-3-Clause", "BSD-2-Clause-Patent", "BSD-4-Clause", "MIT-0", "CC0-1.0", "BSD")]
+    rows = {r["doc_id"]: r["labels"] for r in licenses.license_labels(table(spark, texts)).collect()}
+    assert [rows[i] for i in range(6)] == ["bsd-3-clause", "bsd-2-clause", "bsd-4-clause", "mit", "cc0", "bsd"]
