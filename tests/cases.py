@@ -1,7 +1,9 @@
 """Edge records and messages, with the results written by hand."""
 
 import json
+import os
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 NOW = "2024-06-01 00:00:00"
 
 

@@ -7,8 +7,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 
-from conftest import SF_DIR
+from cases import SF_DIR
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark"

@@ -9,8 +9,7 @@ from casemill.operators import clean, dedup, reports, summary
 from casemill.plans.catalog import QUERIES
 from casemill.plans.samples import scored_events, table
 
-from cases import NOW, messages
-from conftest import SF_DIR
+from cases import NOW, SF_DIR, messages
 
 
 def physical(df):
