@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casemill.llm import hostrules, topk
+from casemill.llm import hostrules, infill, topk
 from casemill.llm.bytebpe import op3_byte_bpe
 from casemill.llm.licenses import op10_license_scans
 from casemill.llm.neardup import op5_minhash_near_dedup
@@ -25,7 +25,12 @@ QUERIES = {
         op8_pii,
         hostrules.op9_quality_rules,
         op10_license_scans,
+        infill.op12_fill_in_middle,
     )
 }
 
-ORACLES: dict[str, str] = {"op4_exact_top_k": topk.ORACLE, "op9_quality_rules": hostrules.ORACLE}
+ORACLES: dict[str, str] = {
+    "op4_exact_top_k": topk.ORACLE,
+    "op9_quality_rules": hostrules.ORACLE,
+    "op12_fill_in_middle": infill.ORACLE,
+}

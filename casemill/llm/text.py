@@ -6,12 +6,14 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from casemill.layout import scratch_folder
 
 SLICE_ROWS = 256  # rows turned into Python objects at a time
+RUN_BYTES = 2 << 20  # of text handled as one array
 CACHE_BYTES = 96 << 20  # what a task's cache of pieces may hold, about
 
 
@@ -22,6 +24,18 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
+def byte_runs(batches: Iterable[pa.RecordBatch], column: str, size: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in runs whose texts in ``column`` take ``size`` bytes, or that are one longer text."""
+    for batch in batches:
+        held = batch.column(batch.schema.get_field_index(column))
+        ends = np.frombuffer(held.buffers()[1], np.int32)[held.offset : held.offset + len(held) + 1]
+        start = 0
+        while start < len(held):
+            stop = max(start + 1, int(np.searchsorted(ends, int(ends[start]) + size, "right")) - 1)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Runs of anything but space and the five ASCII white-space controls, as UTF-8."""
     return text.encode().split() if text else []
