@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casemill.llm import hostrules, infill, topk
+from casemill.llm import collocations, hostrules, infill, topk
 from casemill.llm.bytebpe import op3_byte_bpe
 from casemill.llm.licenses import op10_license_scans
 from casemill.llm.neardup import op5_minhash_near_dedup
@@ -25,6 +25,7 @@ QUERIES = {
         op8_pii,
         hostrules.op9_quality_rules,
         op10_license_scans,
+        collocations.op11_collocations,
         infill.op12_fill_in_middle,
     )
 }
@@ -32,5 +33,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op4_exact_top_k": topk.ORACLE,
     "op9_quality_rules": hostrules.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op12_fill_in_middle": infill.ORACLE,
 }
