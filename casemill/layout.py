@@ -13,10 +13,13 @@ from pyspark.sql import SparkSession
 class Zones:
     """Paths under one root; any Hadoop-compatible file system works.
 
-    The folder names are fixed values: readers of the zones expect them.
+    The folder names are fixed values: readers of the zones expect them. ``key_buckets``
+    is how many folders the index of stored keys has, some million keys for each; it
+    stays as it was when the index was made, and so is part of the index's place.
     """
 
     root: str
+    key_buckets: int = 64
 
     def _at(self, tail: str) -> str:
         return f"{self.root.rstrip('/')}/{tail}"
@@ -33,6 +36,22 @@ class Zones:
     def quarantine(self) -> str:
         return self._at("processed/bad_records")
 
+    @property
+    def late(self) -> str:
+        return self._at("processed/late_rows")
+
+    @property
+    def keys(self) -> str:
+        return self._at(f"processed/keys_{self.key_buckets}")
+
+    @property
+    def clock(self) -> str:
+        return self._at("processed/clock")
+
+    @property
+    def commits(self) -> str:
+        return self._at("commits")
+
     @property
     def checkpoints(self) -> str:
         return self._at("checkpoints")
@@ -57,10 +76,18 @@ class Zones:
     def best_model(self) -> str:
         return self._at("models/best_model")
 
+    @property
+    def rejects(self) -> str:
+        return self._at("models/rejects")
+
     @property
     def summary(self) -> str:
         return self._at("reporting/risk_summary")
 
+    @property
+    def summary_parts(self) -> str:
+        return self._at("reporting/risk_summary_parts")
+
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.

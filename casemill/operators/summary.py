@@ -78,6 +78,48 @@ def long_summary(
     )
 
 
+def parts(
+    scored: DataFrame,
+    dimensions: Sequence[str] = DIMENSIONS,
+    keys: Sequence[str] = (),
+    label: str = "risk_label",
+    probability: str = "prediction_probability",
+) -> DataFrame:
+    """Sums per dimension value, and per value of ``keys``, that add up to any summary.
+
+    One scan, as in ``long_summary``; the keys stand in front of the summed columns.
+    """
+    sets = [[*keys, *([d] if d else [])] for d in (None, *dimensions)]
+    grouped = scored.groupingSets(sets, *keys, *dimensions).agg(
+        F.count(F.lit(1)).alias("total_records"),
+        F.sum(label).alias("high_risk_records"),
+        F.sum(probability).alias("probability_sum"),
+        *(F.grouping(d).alias(f"_not_{i}") for i, d in enumerate(dimensions)),
+    )
+    kind, value = F.lit(OVERALL[0]), F.lit(OVERALL[1])
+    for i, d in enumerate(dimensions):
+        mine = F.col(f"_not_{i}") == 0
+        kind, value = F.when(mine, d).otherwise(kind), F.when(mine, F.col(d).cast("string")).otherwise(value)
+    named = {"dimension_type": kind, "dimension_value": value}
+    return grouped.select(*keys, *(named.get(c, F.col(c)).alias(c) for c in schemas.SUMMARY_PARTS))
+
+
+def from_parts(sums: DataFrame, as_of: datetime.date | str | None = None) -> DataFrame:
+    """The summary that sums of any number of batches add up to."""
+    total, high = F.sum("total_records"), F.sum("high_risk_records")
+    return (
+        sums.groupBy("dimension_type", "dimension_value")
+        .agg(
+            total.alias("total_records"),
+            high.alias("high_risk_records"),
+            (total - high).alias("low_risk_records"),
+            (F.sum("probability_sum") / total).alias("average_probability"),
+        )
+        .withColumn("summary_date", _as_date(as_of))
+        .select(*schemas.SUMMARY)
+    )
+
+
 def union_summary(
     predictions: DataFrame,
     dimensions: Sequence[str] = DIMENSIONS,

@@ -13,7 +13,8 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from casemill import CleanSpec, RuleSpec, StreamSpec, Zones, schemas, sinks
+from casemill import CleanSpec, RuleSpec, StreamSpec, Zones, commits, schemas, sinks
+from casemill.files import sizes
 from casemill.functions import nested, values
 from casemill.layout import scratch_folder
 from casemill.operators import clean as cleaning
@@ -32,6 +33,7 @@ from casemill.plans.samples import (
 )
 from casemill.sources import read_table, spread
 from casemill.streaming import run_clean_stream, write_batch
+from casemill.streaming.clean_stream import LATE, compact_zones, stage_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -563,8 +565,8 @@ def schema_conform(spark, sf_dir):
 @query
 def schema_misfits(spark, sf_dir):
     """Values of documents and their labels that a contract of numbers would lose."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.substring("text", 1, 1).alias("head"))
-    return schemas.misfits(docs, {"doc_id": "string", "lang": "int", "source": "double", "head": "int", "absent": "int"})
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return schemas.misfits(docs, {"doc_id": "string", "lang": "int", "source": "double", "text": "int", "absent": "int"})
 
 
 @query
@@ -648,8 +650,7 @@ def stream_clean_equals_batch(spark, sf_dir):
 @query
 def stream_bronze(spark, sf_dir):
     zones = _streamed(spark, sf_dir, dedup="per_batch")
-    rows = read_table(spark, zones.bronze, contract=schemas.RAW).select(*schemas.RAW)
-    return _comparable(rows.withColumn("raw_data", F.md5("raw_data")))
+    return _comparable(commits.read(spark, zones, "bronze").withColumn("raw_data", F.md5("raw_data")))
 
 
 @query
@@ -681,14 +682,146 @@ def stream_replay(spark, sf_dir):
     batch = messages(spark, sf_dir)
     for _ in range(2):
         write_batch(batch, zones, "run-1", 0, now=NOW)
-    zone = {"raw": zones.bronze, "clean": zones.silver, "bad": zones.quarantine}
-    stored = [
-        read_table(spark, path).select(F.lit(name).alias("zone")) for name, path in zone.items()
-    ]
+    zone = {"raw": "bronze", "clean": "silver", "bad": "quarantine"}
+    stored = [commits.read(spark, zones, held).select(F.lit(name).alias("zone")) for name, held in zone.items()]
     rows = stored[0].unionByName(stored[1]).unionByName(stored[2])
     return rows.groupBy("zone").agg(F.count(F.lit(1)).alias("records"))
 
 
+# ---- the lake: commits, index, late rows, compaction, incremental sums ----
+
+
+def _stream_files(spark, sf_dir, parts: list[tuple[int, str]], **options) -> Zones:
+    """Messages sent in one file for each (batch shift, events), a micro-batch for each file."""
+    base = scratch_folder(spark, "files")
+    source, zones = StreamSpec(kind="files", path=f"{base}/inbox", max_per_trigger=1), Zones(f"{base}/zones", key_buckets=8)
+    for shift, where in parts:
+        sent = messages(spark, sf_dir, shift, where).select(F.col("value").cast("binary"))
+        sent.repartition(1).write.mode("append").parquet(source.path)
+    for stream in run_clean_stream(spark, source, zones, now=NOW, **options):
+        stream.awaitTermination()
+    return zones
+
+
+@query
+def stream_dedup_indexed(spark, sf_dir):
+    """Five micro-batches, each with all events of the ones before, looked up in the index of keys."""
+    files = [(n, f"event_id % 5 <= {n}") for n in range(5)]
+    zones = _stream_files(spark, sf_dir, files, dedup="indexed", compact_every=3)
+    return _comparable(jobs.read_silver(spark, zones).withColumn("raw_record", F.md5("raw_record")))
+
+
+def _zone_rows(spark, zones: Zones, moment: str) -> DataFrame:
+    """The rows of the three zones that count now, as text digests."""
+    text = {"bronze": "raw_data", "silver": "raw_record", "quarantine": "raw_data"}
+    rows = [
+        commits.read(spark, zones, zone).select(
+            F.lit(moment).alias("moment"), F.lit(zone).alias("zone"), F.md5(column).alias("text_md5"), "batch_number"
+        )
+        for zone, column in text.items()
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query
+def stream_commit(spark, sf_dir):
+    """What readers see after a batch that was written to every zone but not recorded, and once it is."""
+    zones = Zones(scratch_folder(spark, "commit"))
+    even, odd = (messages(spark, sf_dir, where=f"event_id % 2 = {rest}") for rest in (0, 1))
+    options = {"dedup": "per_batch", "now": NOW}
+    write_batch(even, zones, "run-1", 0, **options)
+    stage_batch(odd, zones, "run-1", 1, **options)
+    crashed = _zone_rows(spark, zones, "crashed")
+    write_batch(odd, zones, "run-1", 1, **options)
+    return crashed.unionByName(_zone_rows(spark, zones, "repaired"))
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Three files out of order: a row five days behind the latest one of the files before it is late."""
+    middle = "day(ts) BETWEEN 11 AND 20"
+    files = [f"event_id % 3 < 2 AND {middle}", "event_id % 3 = 2", f"event_id % 3 < 2 AND NOT ({middle})"]
+    zones = _stream_files(
+        spark, sf_dir, [(0, f) for f in files], dedup="indexed", late=True, delay="5 days", compact_every=2
+    )
+    silver = jobs.read_silver(spark, zones).withColumn("watermark", F.lit(None).cast("timestamp"))
+    late = commits.read_zone(spark, zones, "late", LATE)
+    rows = silver.withColumn("zone", F.lit("silver")).unionByName(late.withColumn("zone", F.lit("late")))
+    return _comparable(rows.withColumn("raw_record", F.md5("raw_record")))
+
+
+@query
+def snapshot_staged(spark, sf_dir):
+    """Readers of a snapshot before, while and after it is replaced, with an attempt that failed."""
+    zones = Zones(scratch_folder(spark, "staged"))
+    rows = scored_events(spark, sf_dir).select("event_id", "risk_label")
+
+    def seen(moment: str) -> DataFrame:
+        contract = dict(rows.dtypes)
+        return commits.read_zone(spark, zones, "predictions", contract).withColumn("moment", F.lit(moment))
+
+    commits.publish({"predictions": rows}, zones)
+    commits.stage(rows.filter("risk_label = 0"), zones, "predictions", commits.new_attempt())
+    failed = seen("failed")
+    commits.publish({"predictions": rows.filter("risk_label = 1")}, zones)
+    return failed.unionByName(seen("replaced"))
+
+
+@query
+def stream_compaction(spark, sf_dir):
+    """Five batches gathered into fewer files; one of them, written again, still replaces its rows."""
+    zones = Zones(scratch_folder(spark, "compact"))
+    options = {"dedup": "per_batch", "now": NOW}
+
+    def files() -> int:
+        live = {e.attempt for e in commits.latest(commits.read_log(spark, zones), "silver").values()}
+        return len(sizes(spark, *(f"{zones.silver}/attempt={attempt}" for attempt in live)))
+
+    for n in range(5):
+        write_batch(messages(spark, sf_dir, where=f"event_id % 5 = {n}"), zones, "run-1", n, **options)
+    before = files()
+    compact_zones(spark, zones, small_bytes=1 << 30)
+    fewer = F.lit(int(files() < before))
+    write_batch(messages(spark, sf_dir, where="event_id % 5 = 0 AND event_type <> 'view'"), zones, "run-1", 0, **options)
+    rows = jobs.read_silver(spark, zones).withColumn("fewer_files", fewer)
+    return _comparable(rows.withColumn("raw_record", F.md5("raw_record")))
+
+
+@query
+def summary_incremental(spark, sf_dir):
+    """Summed batch by batch, with batches that are new, repeated and replaced by other rows."""
+    zones = Zones(scratch_folder(spark, "sums"))
+    name = "coalesce(get_json_object(record, '$.safetyreportid'), record)"
+
+    def write(batch_id: int, *parts: int) -> None:
+        where = f"record IS NULL OR pmod(xxhash64({name}), 3) IN ({', '.join(map(str, parts))})"
+        write_batch(messages(spark, sf_dir, where=where), zones, "run-1", batch_id, dedup="per_batch", now=NOW)
+
+    write(0, 0, 1)
+    write(1, 2)
+    jobs.refresh_sums(spark, zones)
+    write(0, 0)
+    write(1, 1)
+    jobs.refresh_sums(spark, zones)
+    write(1, 1)
+    write(2, 2)
+    rows = jobs.run_incremental_report(spark, zones, as_of=AS_OF)
+    return _comparable(_rounded(rows, "average_probability"))
+
+
+@query
+def warehouse_rejects(spark, sf_dir):
+    """Events loaded into typed columns; those with a value that does not fit, with each such value."""
+    amount = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))
+    level = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("L"), "event_type")).otherwise(F.dayofmonth("ts").cast("string"))
+    rows = table(spark, sf_dir, "events").select("event_id", amount.alias("amount"), level.alias("level"))
+    fitting, rejected = schemas.sift(rows, {"event_id": "bigint", "amount": "double", "level": "int"})
+    loaded = fitting.select("event_id", "amount", "level", F.lit("").alias("column_name"), F.lit("").alias("value"))
+    event = F.get_json_object("row", "$.event_id").cast("bigint").alias("event_id")
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("amount", "double"), ("level", "int"))]
+    return loaded.unionByName(rejected.select(event, *none, "column_name", "value"))
+
+
 @query
 def run_everything(spark, sf_dir):
     """Stream, score and report through the stored zones."""

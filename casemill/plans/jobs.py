@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casemill import schemas, sinks
+from casemill import commits, schemas, sinks
 from casemill.layout import Zones
 from casemill.operators import evaluate, model, score, summary
-from casemill.sources import read_table
 from casemill.spec import CleanSpec, JdbcSpec, RuleSpec, StreamSpec
 from casemill.streaming.clean_stream import run_clean_stream
 
@@ -20,9 +20,7 @@ def new_version() -> str:
 
 
 def read_silver(spark: SparkSession, zones: Zones) -> DataFrame:
-    return read_table(spark, zones.silver, contract={**schemas.CLEAN, "run_id": "string", "batch_id": "bigint"}).select(
-        *schemas.CLEAN
-    )
+    return commits.read(spark, zones, "silver")
 
 
 def run_score(
@@ -36,24 +34,44 @@ def run_score(
 ) -> str:
     """Score silver with the rule; gives the run's version.
 
-    Silver is scored once; every further output reads the stored predictions.
-    The warehouse copies of silver and of the predictions are replaced, as they
-    are snapshots, while metrics accumulate version by version.
+    Silver is scored once; every further output reads the staged predictions. All outputs
+    count from one moment on, and a version scored again replaces its metrics. The warehouse
+    tables are loaded with what the lake holds, and so replaced; rows with a value that
+    does not fit its column are not loaded but go to the rejects.
     """
-    version = version or new_version()
+    version, attempt = version or new_version(), commits.new_attempt()
     silver = read_silver(spark, zones)
-    sinks.overwrite_snapshot(score.score(silver, version, rule, now), zones.predictions)
-    predictions = read_table(spark, zones.predictions, contract=schemas.PREDICTIONS)
-    sinks.overwrite_snapshot(score.slim(predictions), zones.predictions_slim)
+    staged = [commits.stage(score.score(silver, version, rule, now), zones, "predictions", attempt)]
+    predictions = commits.read_staged(spark, zones, staged[0], schemas.PREDICTIONS)
+    staged.append(commits.stage(score.slim(predictions), zones, "predictions_slim", attempt))
     metrics = evaluate.metric_rows(predictions, rule.split_name, rule.label).coalesce(1)
-    sinks.overwrite_partitions(metrics, zones.metrics, "model_version", "split_name")
+    staged.append(commits.stage(metrics, zones, "metrics", attempt, f"{version}/{rule.split_name}"))
+    commits.commit(spark, zones, staged)
     if jdbc:
-        sinks.jdbc_write(score.base_frame(silver, rule), jdbc, "cleaned_patients", "overwrite")
-        sinks.jdbc_write(predictions, jdbc, "patient_predictions", "overwrite")
-        sinks.jdbc_write(metrics, jdbc, "model_evaluation", "append")
+        load_warehouse(
+            zones,
+            jdbc,
+            {
+                "cleaned_patients": score.base_frame(silver, rule),
+                "patient_predictions": predictions,
+                "model_evaluation": commits.read(spark, zones, "metrics"),
+            },
+        )
     return version
 
 
+def load_warehouse(zones: Zones, jdbc: JdbcSpec, tables: Mapping[str, DataFrame]) -> None:
+    """Replace warehouse tables; rows that do not fit go to the rejects zone, by table."""
+    spark = next(iter(tables.values())).sparkSession
+    attempt, staged = commits.new_attempt(), []
+    for table, rows in tables.items():
+        fitting, rejected = schemas.sift(rows, schemas.WAREHOUSE[table])
+        sinks.jdbc_write(fitting, jdbc, table, "overwrite")
+        told = rejected.withColumn("table_name", F.lit(table)).select(*schemas.REJECTS)
+        staged.append(commits.stage_if_any(told, zones, "rejects", f"{attempt}-{table}", table, 0))
+    commits.commit(spark, zones, staged)
+
+
 def run_report(
     spark: SparkSession,
     zones: Zones,
@@ -64,16 +82,57 @@ def run_report(
 ) -> DataFrame:
     """Summarise the stored predictions; gives the day's summary.
 
-    Each day's summary is its own partition, so earlier days stay.
+    Each day's summary has its own slot, so earlier days stay.
     """
     as_of = str(as_of or datetime.datetime.now(datetime.timezone.utc).date())
-    predictions = read_table(spark, zones.predictions, contract=schemas.PREDICTIONS)
-    rows = summary.long_summary(predictions, dimensions, as_of)
-    sinks.overwrite_partitions(rows, zones.summary, "summary_date")
-    stored = read_table(spark, zones.summary, contract=schemas.SUMMARY)
+    rows = summary.long_summary(commits.read(spark, zones, "predictions"), dimensions, as_of)
+    return _store_summary(spark, zones, rows, as_of, jdbc)
+
+
+def _store_summary(spark: SparkSession, zones: Zones, rows: DataFrame, as_of: str, jdbc: JdbcSpec | None) -> DataFrame:
+    staged = commits.stage(rows.coalesce(1), zones, "summary", commits.new_attempt(), as_of)
+    commits.commit(spark, zones, [staged])
     if jdbc:
-        sinks.jdbc_write(stored, jdbc, "risk_summary", "overwrite")
-    return stored.where(stored["summary_date"] == as_of).select(*schemas.SUMMARY)
+        load_warehouse(zones, jdbc, {"risk_summary": commits.read(spark, zones, "summary")})
+    return commits.read_staged(spark, zones, staged, schemas.SUMMARY)
+
+
+def run_incremental_report(
+    spark: SparkSession,
+    zones: Zones,
+    rule: RuleSpec = RuleSpec(),
+    *,
+    dimensions: tuple[str, ...] = summary.DIMENSIONS,
+    as_of: datetime.date | str | None = None,
+    jdbc: JdbcSpec | None = None,
+) -> DataFrame:
+    """The day's summary of silver under the rule, reading only batches not summed before.
+
+    A batch's sums fill its slot in a zone of their own. When the batch is written again,
+    its slot is summed anew, and the old sums no longer count.
+    """
+    as_of = str(as_of or datetime.datetime.now(datetime.timezone.utc).date())
+    refresh_sums(spark, zones, rule, dimensions)
+    sums = commits.read_zone(spark, zones, "summary_parts", schemas.SUMMARY_PARTS)
+    if sums is None:
+        raise LookupError("there is no committed batch to sum")
+    return _store_summary(spark, zones, summary.from_parts(sums, as_of), as_of, jdbc)
+
+
+def refresh_sums(
+    spark: SparkSession, zones: Zones, rule: RuleSpec = RuleSpec(), dimensions: tuple[str, ...] = summary.DIMENSIONS
+) -> int:
+    """Sum up the batches of silver that have no sums yet, or have changed; gives how many."""
+    log = commits.read_log(spark, zones)
+    slots = commits.missing(log, "summary_parts", "silver")
+    if slots:
+        fresh = commits.read_zone(spark, zones, "silver", schemas.CLEAN, slots=True, log=log, only=slots)
+        if fresh is not None:
+            label = F.col(rule.label)
+            scored = score.base_frame(fresh, rule).withColumn("prediction_probability", score.rule_probability(label, rule))
+            parts = summary.parts(scored, dimensions, tuple(commits.SLOT))
+            commits.adopt(parts, zones, "summary_parts", slots)
+    return len(slots)
 
 
 def run_training(
@@ -85,27 +144,35 @@ def run_training(
     grids=None,
     now=None,
 ) -> str:
-    """Train on silver, keep the best model and its predictions; gives its name."""
-    version = version or new_version()
+    """Train on silver, keep the best model and its predictions; gives its name.
+
+    Model, metrics and predictions, and the slim copy that goes with them, count from one
+    moment on.
+    """
+    version, attempt = version or new_version(), commits.new_attempt()
     silver = read_silver(spark, zones)
     train, test = model.split(silver, spec)
     models = model.train(train, spec, grids)
-    metrics = model.evaluate_all(models, test, version, spec).persist()
-    try:
-        best = model.select_best(metrics)
-        sinks.overwrite_partitions(metrics.coalesce(1), zones.metrics, "model_version", "split_name")
-    finally:
-        metrics.unpersist()
-    model.save(models[best], zones.best_model)
-    for rows, path in ((silver, zones.predictions), (test, zones.test_predictions)):
+    metrics = model.evaluate_all(models, test, version, spec).coalesce(1)
+    staged = [commits.stage(metrics, zones, "metrics", attempt, f"{version}/trained")]
+    best = model.select_best(commits.read_staged(spark, zones, staged[0], schemas.METRICS))
+    model.save(models[best], f"{zones.best_model}/attempt={attempt}")
+    staged.append(commits.Entry("best_model", *commits.SNAPSHOT, attempt))
+    for rows, zone in ((test, "test_predictions"), (silver, "predictions")):
         found = model.predict(models[best], rows, best, version, spec, now)
-        sinks.overwrite_snapshot(found.select(*schemas.PREDICTIONS), path)
-    # The slim copy goes with the predictions, whichever model made them.
-    kept = read_table(spark, zones.predictions, contract=schemas.PREDICTIONS)
-    sinks.overwrite_snapshot(score.slim(kept), zones.predictions_slim)
+        staged.append(commits.stage(found.select(*schemas.PREDICTIONS), zones, zone, attempt))
+    kept = commits.read_staged(spark, zones, staged[-1], schemas.PREDICTIONS)
+    staged.append(commits.stage(score.slim(kept), zones, "predictions_slim", attempt))
+    commits.commit(spark, zones, staged)
     return best
 
 
+def load_best(spark: SparkSession, zones: Zones):
+    """The model ``run_training`` kept last."""
+    (entry,) = commits.latest(commits.read_log(spark, zones), "best_model").values()
+    return model.load(f"{zones.best_model}/attempt={entry.attempt}")
+
+
 def run_all(
     spark: SparkSession,
     source: StreamSpec,

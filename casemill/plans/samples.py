@@ -79,15 +79,19 @@ def reports(events: DataFrame) -> DataFrame:
     return keyed.select("event_id", "event_type", "ts", "k", damaged.alias("record"))
 
 
-def wrapped_reports(spark: SparkSession, sf_dir: str, batch_shift: int = 0) -> DataFrame:
+def wrapped_reports(
+    spark: SparkSession, sf_dir: str, batch_shift: int = 0, where: Column | str | None = None
+) -> DataFrame:
     """Envelope columns and message key, one row per event.
 
-    ``batch_shift`` re-sends the same reports as a later cycle would.
+    ``batch_shift`` re-sends the same reports as a later cycle would; ``where`` says of
+    which events, by event_id, event_type, ts, k and record.
     """
     batch = F.dayofmonth("ts") + batch_shift
     given = F.get_json_object("record", "$.safetyreportid")
     # The sample is one row group; real feeds arrive in many splits.
-    return reports(spread(table(spark, sf_dir, "events"))).select(
+    sent = reports(spread(table(spark, sf_dir, "events")))
+    return (sent if where is None else sent.where(where)).select(
         "event_type",
         "k",
         values.message_key(given, batch, F.col("event_id") + 1).alias("key"),
@@ -99,11 +103,13 @@ def wrapped_reports(spark: SparkSession, sf_dir: str, batch_shift: int = 0) -> D
     )
 
 
-def messages(spark: SparkSession, sf_dir: str, batch_shift: int = 0) -> DataFrame:
+def messages(
+    spark: SparkSession, sf_dir: str, batch_shift: int = 0, where: Column | str | None = None
+) -> DataFrame:
     """Message texts; some envelopes are damaged too."""
     body = F.to_json(F.struct(*schemas.ENVELOPE))
     text = F.when(_kind("view") & (F.col("k") == 0), "garbage").otherwise(body)
-    return wrapped_reports(spark, sf_dir, batch_shift).select(text.alias("value"))
+    return wrapped_reports(spark, sf_dir, batch_shift, where).select(text.alias("value"))
 
 
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:

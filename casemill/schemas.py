@@ -99,6 +99,31 @@ SUMMARY = {
     "average_probability": "double",
 }
 
+# Of one batch: what a summary is added up from.
+SUMMARY_PARTS = {
+    "dimension_type": "string",
+    "dimension_value": "string",
+    "total_records": "bigint",
+    "high_risk_records": "bigint",
+    "probability_sum": "double",
+}
+
+# A value that did not fit the column it was meant for.
+REJECTS = {"table_name": "string", "row_id": "string", "column_name": "string", "value": "string", "row": "string"}
+
+# What lies in each zone.
+ZONES = {
+    "bronze": RAW,
+    "silver": CLEAN,
+    "quarantine": BAD,
+    "predictions": PREDICTIONS,
+    "predictions_slim": PREDICTIONS_SLIM,
+    "test_predictions": PREDICTIONS,
+    "metrics": METRICS,
+    "summary": SUMMARY,
+    "rejects": REJECTS,
+}
+
 # Warehouse tables: the contract each JDBC target expects. Serial ids and the
 # load time are left to the database's own defaults.
 WAREHOUSE = {
@@ -143,3 +168,34 @@ def misfits(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
     lost = (F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(contract[n]).isNull() for n in shared)
     wide = df.agg(*(F.count_if(test).alias(name) for name, test in zip(shared, lost, strict=True)))
     return wide.unpivot([], shared, "column_name", "misfits")
+
+
+def sift(df: DataFrame, contract: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit a contract, conformed, and the values that keep the others from it.
+
+    A row is rejected whole if ``conform`` would turn one of its values to null. Each such
+    value is a row of the second frame: an id of the rejected row, made from its content,
+    the column, the value as text, and the rejected row as JSON. A frame whose types are
+    the contract's already cannot lose a value, and is not looked at.
+    """
+    have = dict(df.dtypes)
+    lossy = [n for n in contract if n in have and have[n] != contract[n]]
+    row = F.to_json(F.struct(*(F.col(f"`{n}`") for n in contract if n in have)), {"ignoreNullFields": "false"})
+    lost = {n: F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(contract[n]).isNull() for n in lossy}
+    shown = [
+        F.when(test, F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").cast("string").alias("value")))
+        for n, test in lost.items()
+    ]
+    if not lossy:
+        none = df.limit(0).select(F.lit("").alias("row_id"), F.lit("").alias("column_name"), F.lit("").alias("value"))
+        return conform(df, contract), none.withColumn("row", F.lit(""))
+    bad = F.expr("false")
+    for test in lost.values():
+        bad = bad | test
+    rejected = (
+        df.where(bad)
+        .select(row.alias("row"), F.array_compact(F.array(*shown)).alias("_lost"))
+        .select(F.md5("row").alias("row_id"), F.explode("_lost").alias("_one"), "row")
+        .select("row_id", "_one.column_name", "_one.value", "row")
+    )
+    return conform(df.where(~bad), contract), rejected

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter
 
 from casemill import schemas
+from casemill.files import delete
 from casemill.operators.ingest import to_messages
-from casemill.sources.tables import read_if_present
+from casemill.sources.tables import read_table
 from casemill.spec import JdbcSpec
 
 
@@ -31,11 +33,20 @@ def append_partitioned(df: DataFrame, path: str, partition: str = "batch_number"
 
 
 def append_if_nonempty(df: DataFrame, path: str) -> bool:
-    """Append unless there is nothing to append. Persist ``df`` if it is costly."""
-    if df.isEmpty():
-        return False
-    df.write.mode("append").parquet(path)
-    return True
+    """Append; if there was nothing to append, a table that was not there is not made.
+
+    ``df`` runs once: the rows are staged beside the table, which tells whether there are any.
+    """
+    spark, staged = df.sparkSession, f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    rows = read_table(spark, staged, contract=dict(df.dtypes))
+    try:
+        if rows.isEmpty():
+            return False
+        rows.write.mode("append").parquet(path)
+        return True
+    finally:
+        delete(spark, staged)
 
 
 def overwrite_snapshot(df: DataFrame, path: str) -> None:
@@ -53,38 +64,6 @@ def overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
     )
 
 
-def batch_folder(path: str, run_id: str, batch_id: int) -> str:
-    return f"{path}/run_id={run_id}/batch_id={batch_id}"
-
-
-def replace_batch(
-    df: DataFrame, path: str, run_id: str, batch_id: int, partition: str | None = None, *, gather: bool = False
-) -> None:
-    """Write one batch so that writing it again replaces it.
-
-    Each batch owns a folder, and the folder is overwritten as a whole: also
-    when the second attempt has fewer partitions, or no rows.
-    """
-    if gather and partition:
-        df = gathered(df, [partition])
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition:
-        writer = writer.partitionBy(partition)
-    writer.parquet(batch_folder(path, run_id, batch_id))
-
-
-def replace_batch_if_nonempty(df: DataFrame, path: str, run_id: str, batch_id: int) -> bool:
-    """Like ``replace_batch``, but an empty batch leaves no folder behind.
-
-    If an earlier attempt at the same batch did write rows, they are cleared.
-    """
-    if df.isEmpty():
-        if read_if_present(df.sparkSession, batch_folder(path, run_id, batch_id), schemas.BAD) is None:
-            return False
-    replace_batch(df, path, run_id, batch_id)
-    return True
-
-
 def export_csv(df: DataFrame, path: str) -> None:
     """Replace a CSV folder, with a header line in every file."""
     df.write.mode("overwrite").option("header", True).csv(path)

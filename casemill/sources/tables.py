@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from casemill import schemas
 
 
-def read_table(spark: SparkSession, *places: str | None, contract: Mapping[str, str] | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, *places: str | None, contract: Mapping[str, str] | None = None, base: str | None = None
+) -> DataFrame:
     """A Parquet table that lies in one place or several; places without a name are passed over.
 
-    With a contract, no file is opened to infer the schema.
+    With a contract, no file is opened to infer the schema. ``base`` is the folder below
+    which folder names give column values.
     """
     named = list(filter(None, places))
     if not named:
         raise ValueError("a table needs a place")
     reader = spark.read.schema(schemas.ddl(contract)) if contract else spark.read
-    return reader.parquet(*named)
+    return (reader.option("basePath", base) if base else reader).parquet(*named)
 
 
 def read_if_present(

@@ -14,7 +14,7 @@ UNKNOWN = "unknown"
 RULE_MODEL_NAME = "rule_based_risk_scorer"
 COMPAT_REASON = "failed_json_parse"
 
-DedupMode = Literal["per_batch", "watermark", "state", "global"]
+DedupMode = Literal["per_batch", "watermark", "state", "global", "indexed"]
 
 
 @dataclass(frozen=True)

@@ -9,55 +9,99 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from casemill import schemas, sinks
+from casemill import commits, schemas
 from casemill.layout import Zones
-from casemill.operators import clean as ops
+from casemill.operators import clean as ops, keyindex
 from casemill.operators.dedup import BROADCAST_BYTES, keep_one, new_keys_only
-from casemill.sources import read_if_present, spread, stream_source
+from casemill.sources import read_table, spread, stream_source
 from casemill.spec import CleanSpec, DedupMode, StreamSpec
 
-# Columns the batch folders add to the silver contract.
-STORED_SILVER = {**schemas.CLEAN, "run_id": "string", "batch_id": "bigint"}
+#: Of each batch, the latest time rows were fetched at so far, in microseconds; lateness goes by it.
+CLOCK = {"fetched": "bigint"}
+LATE = {**schemas.CLEAN, "watermark": "timestamp"}
 
 
-def _stored_elsewhere(spark: SparkSession, zones: Zones, run_id: str, batch_id: int) -> DataFrame | None:
-    """Ids in silver, without those an earlier attempt at this batch wrote."""
-    stored = read_if_present(spark, zones.silver, STORED_SILVER)
+def _others(spark: SparkSession, zones: Zones, zone: str, contract, run_id: str, batch_id: int, log) -> DataFrame | None:
+    """A zone's committed rows, without those an earlier attempt at this batch wrote."""
+    stored = commits.read_zone(spark, zones, zone, contract, slots=True, log=log)
     if stored is None:
         return None
-    this = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
-    return stored.filter(~this).select("report_id")
+    # Rows that were stored before there was a log may have no slot.
+    return stored.where(~(F.col("run_id").eqNullSafe(run_id) & F.col("batch_id").eqNullSafe(batch_id)))
 
 
-def write_silver(
+def index_keys(spark: SparkSession, zones: Zones) -> bool:
+    """Index the keys of batches that were stored without; False if there are none."""
+    log = commits.read_log(spark, zones)
+    slots = commits.missing(log, "keys", "silver")
+    if slots:
+        silver = commits.read_zone(spark, zones, "silver", {"report_id": "string"}, slots=True, log=log)
+        commits.adopt(keyindex.entries(silver, zones.key_buckets, *commits.SLOT), zones, "keys", slots, partition="bucket")
+    return bool(slots)
+
+
+def stage_silver(
     typed: DataFrame,
     zones: Zones,
     run_id: str,
     batch_id: int,
+    attempt: str | None = None,
     *,
-    against_stored: bool,
+    dedup: DedupMode = "global",
+    delay: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-) -> None:
-    """Deduplicate one batch of typed rows and store it, replacing an earlier attempt.
+) -> list[commits.Entry]:
+    """Deduplicate one batch of typed rows and stage it; the entries are what ``commit`` takes.
 
-    ``against_stored`` also drops ids that other batches have stored: across
-    batches the first stored row stays.
+    Within a batch the first by ``survivor_order`` stays. ``global`` and ``indexed`` also
+    drop ids that other batches have stored, so across batches the first stored row stays.
+    With a ``delay``, rows fetched earlier than that before the latest row of all committed
+    batches go to the late zone as they are, whatever their id.
     """
-    spark = typed.sparkSession
-    rows = keep_one(typed, ["report_id"], ops.survivor_order())
-    stored = _stored_elsewhere(spark, zones, run_id, batch_id) if against_stored else None
-    if stored is None:
-        sinks.replace_batch(rows, zones.silver, run_id, batch_id, "batch_number", gather=True)
-        return
-    rows = rows.persist(StorageLevel.DISK_ONLY)
+    spark, attempt = typed.sparkSession, attempt or commits.new_attempt()
+    if dedup == "indexed":
+        index_keys(spark, zones)
+    log = commits.read_log(spark, zones)
+    staged: list[commits.Entry] = []
+
+    def stage(rows: DataFrame, zone: str, partition: str | None = None) -> None:
+        staged.append(
+            commits.stage(rows, zones, zone, attempt, run_id, batch_id, partition=partition, gather=bool(partition))
+        )
+
+    if delay:
+        clock = _others(spark, zones, "clock", CLOCK, run_id, batch_id, log)
+        latest = F.lit(clock.agg(F.max("fetched")).first()[0] if clock is not None else None).cast("bigint")
+        mark = F.timestamp_micros(latest) - F.expr(f"INTERVAL {delay}")
+        behind = F.coalesce(F.col("ingestion_timestamp") < mark, F.lit(False))
+        stage(typed.where(behind).withColumn("watermark", mark), "late", "batch_number")
+        fetched = F.greatest(F.unix_micros(F.max("ingestion_timestamp")), latest)
+        stage(typed.agg(fetched.alias("fetched")), "clock")
+        typed = typed.where(~behind)
+    once = keep_one(typed, ["report_id"], ops.survivor_order())
+    if dedup not in ("global", "indexed"):
+        stage(once, "silver", "batch_number")
+        return staged
+    once = once.persist(StorageLevel.DISK_ONLY)
     try:
-        fresh = new_keys_only(rows, stored, "report_id", broadcast_bytes=broadcast_bytes)
-        sinks.replace_batch(fresh, zones.silver, run_id, batch_id, "batch_number", gather=True)
+        if dedup == "global":
+            stored = _others(spark, zones, "silver", {"report_id": "string"}, run_id, batch_id, log)
+            fresh = once if stored is None else new_keys_only(once, stored, "report_id", broadcast_bytes=broadcast_bytes)
+            stage(fresh.select(*typed.columns), "silver", "batch_number")
+            return staged
+        stored = _others(spark, zones, "keys", keyindex.CONTRACT, run_id, batch_id, log)
+        if stored is not None:
+            hits = keyindex.known(once.select("report_id"), stored, zones.key_buckets, broadcast_bytes=broadcast_bytes)
+        fresh = once if stored is None else once.join(hits, "report_id", "left_anti")
+        stage(fresh.select(*typed.columns), "silver", "batch_number")
+        kept = commits.read_staged(spark, zones, staged[-1], schemas.CLEAN)
+        stage(keyindex.entries(kept, zones.key_buckets), "keys", "bucket")
     finally:
-        rows.unpersist()
+        once.unpersist()
+    return staged
 
 
-def write_batch(
+def stage_batch(
     messages: DataFrame,
     zones: Zones,
     run_id: str,
@@ -65,33 +109,45 @@ def write_batch(
     spec: CleanSpec = CleanSpec(),
     *,
     dedup: DedupMode = "global",
+    delay: str | None = None,
     now=None,
     keep: bool = True,
     silver: bool = True,
-) -> None:
-    """Write one bounded frame of messages to all three zones.
-
-    Writing the same (run, batch) again replaces its rows in every zone, so a
-    retried batch changes nothing. ``keep`` holds the parsed rows on the
-    executors while the zones are written; turn it off for a frame too large to
-    hold. That one is parsed once per zone, and its raw rows are written from
-    where they are read instead of being shuffled into fewer files.
+) -> list[commits.Entry]:
+    """Write one bounded frame of messages to all zones, where nobody sees it yet.
+
+    ``keep`` holds the parsed rows on the executors while the zones are written; turn it
+    off for a frame too large to hold. That one is parsed once per zone, and its raw rows
+    are written from where they are read instead of being shuffled into fewer files.
     """
+    attempt = commits.new_attempt()
     opened = ops.open_envelopes(messages, spec)
     parsed = ops.parse_records(opened, spec)
     if keep:
         opened = parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         raw = ops.raw_rows(opened, spec, now)
-        sinks.replace_batch(raw, zones.bronze, run_id, batch_id, "batch_number", gather=keep)
+        staged = [commits.stage(raw, zones, "bronze", attempt, run_id, batch_id, partition="batch_number", gather=keep)]
         bad = ops.bad_rows(parsed, spec, now)
-        sinks.replace_batch_if_nonempty(bad, zones.quarantine, run_id, batch_id)
+        staged.append(commits.stage_if_any(bad, zones, "quarantine", attempt, run_id, batch_id))
         if silver:
             typed = ops.typed_rows(parsed, spec, now)
-            write_silver(typed, zones, run_id, batch_id, against_stored=dedup == "global")
+            staged += stage_silver(typed, zones, run_id, batch_id, attempt, dedup=dedup, delay=delay)
     finally:
         if keep:
             parsed.unpersist()
+    return staged
+
+
+def write_batch(messages: DataFrame, zones: Zones, run_id: str, batch_id: int, *args, **options) -> None:
+    """``stage_batch``, and the one record that makes all of it count.
+
+    Writing the same (run, batch) again replaces its rows in every zone, so a retried batch
+    changes nothing. Until the record is there, readers see nothing of the batch, or what
+    an earlier attempt at it has committed.
+    """
+    staged = stage_batch(messages, zones, run_id, batch_id, *args, **options)
+    commits.commit(messages.sparkSession, zones, staged)
 
 
 def _start(
@@ -125,6 +181,24 @@ def _start(
     return query
 
 
+def compact_zones(spark: SparkSession, zones: Zones, small_bytes: int = 32 << 20) -> dict[str, int]:
+    """Gather the small files of all zones a stream writes; gives the attempts rewritten per zone."""
+    layout = {
+        "bronze": (schemas.RAW, "batch_number"),
+        "silver": (schemas.CLEAN, "batch_number"),
+        "quarantine": (schemas.BAD, None),
+        "late": (LATE, "batch_number"),
+        "keys": (keyindex.CONTRACT, "bucket"),
+        "clock": (CLOCK, None),
+    }
+    done = {
+        zone: commits.compact(spark, zones, zone, contract, partition=partition, small_bytes=small_bytes)
+        for zone, (contract, partition) in layout.items()
+    }
+    commits.compact_log(spark, zones)
+    return done
+
+
 def run_clean_stream(
     spark: SparkSession,
     source: StreamSpec,
@@ -133,6 +207,8 @@ def run_clean_stream(
     *,
     dedup: DedupMode = "global",
     delay: str = "1 day",
+    late: bool = False,
+    compact_every: int | None = None,
     trigger: Mapping[str, object] | None = None,
     now=None,
     keep: bool = True,
@@ -145,6 +221,8 @@ def run_clean_stream(
     * ``per_batch``: within a micro-batch only.
     * ``global``: also against everything stored. Each batch scans the stored
       id column, so let batches be large (``max_per_trigger``).
+    * ``indexed``: as ``global``, but the ids are looked up in an index of hash
+      buckets, of which a batch reads those its own ids fall in.
     * ``state``: against every id seen so far, kept in the state store, so a
       batch costs what it holds. Which copy of one batch stays is not defined.
     * ``watermark``: as ``state``, but ids are forgotten ``delay`` after they were
@@ -152,6 +230,11 @@ def run_clean_stream(
       bronze). Rows whose time cannot be read are cleaned, and deduplicated within
       their batch only.
 
+    ``late`` sets rows aside that were fetched more than ``delay`` before the latest
+    row of the batches committed so far: they go to the late zone, whole, and every other
+    row to silver. It goes with the modes that keep no state. ``compact_every`` gathers the
+    small files of the zones, and the log, after every so many batches.
+
     The two stateful modes need a second query, as state can only drop rows for
     silver and must not drop them for bronze. Give them a RocksDB state store
     (``session.build`` does), so that ids spill to disk. ``keep`` is that of
@@ -159,11 +242,26 @@ def run_clean_stream(
     through what is there and stopping; a service passes ``processingTime``.
     """
     trigger = dict(trigger or {"availableNow": True})
-    messages = stream_source(spark, source)
     stateful = dedup in ("state", "watermark")
+    if late and stateful:
+        raise ValueError(f"{dedup} drops late rows itself; late rows are kept by the modes without state")
+    messages = stream_source(spark, source)
 
     def zone_batch(batch: DataFrame, run_id: str, batch_id: int) -> None:
-        write_batch(spread(batch), zones, run_id, batch_id, spec, dedup=dedup, now=now, keep=keep, silver=not stateful)
+        write_batch(
+            spread(batch),
+            zones,
+            run_id,
+            batch_id,
+            spec,
+            dedup=dedup,
+            delay=delay if late else None,
+            now=now,
+            keep=keep,
+            silver=not stateful,
+        )
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact_zones(spark, zones)
 
     queries = [_start(messages, f"{zones.checkpoints}/{name}", trigger, zone_batch)]
     if stateful:
@@ -183,7 +281,11 @@ def run_clean_stream(
         def silver_batch(batch: DataFrame, run_id: str, batch_id: int) -> None:
             if dedup == "watermark":
                 batch = keep_one(batch, ["report_id"], ops.survivor_order())
-            sinks.replace_batch(batch, zones.silver, run_id, batch_id, "batch_number", gather=True)
+            attempt = commits.new_attempt()
+            staged = commits.stage(
+                batch, zones, "silver", attempt, run_id, batch_id, partition="batch_number", gather=True
+            )
+            commits.commit(spark, zones, [staged])
 
         queries.append(_start(typed, f"{zones.checkpoints}/{name}_silver", trigger, silver_batch))
     return queries

@@ -1,10 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from casemill import JdbcSpec, StreamSpec, schemas, sinks
+from casemill import JdbcSpec, StreamSpec, commits, schemas, sinks
 from casemill.operators import evaluate, model
 from casemill.plans import jobs
-from casemill.sources import read_table
 from casemill.streaming import write_batch
 
 from cases import NOW, messages, record
@@ -19,9 +18,9 @@ def test_run_all(spark, tmp_path, zones):
     overall = rows.filter("dimension_type = 'overall'").first()
     assert (overall.total_records, overall.high_risk_records) == (10, 5)
     assert rows.columns == list(schemas.SUMMARY)
-    assert read_table(spark, zones.predictions).columns == list(schemas.PREDICTIONS)
-    assert read_table(spark, zones.predictions_slim).columns == list(schemas.PREDICTIONS_SLIM)
-    metrics = read_table(spark, zones.metrics, contract=schemas.METRICS).collect()
+    slim, full = commits.read(spark, zones, "predictions_slim"), commits.read(spark, zones, "predictions")
+    assert slim.exceptAll(full.select(*schemas.PREDICTIONS_SLIM)).isEmpty() and slim.count() == 10
+    metrics = commits.read(spark, zones, "metrics").collect()
     assert {(m.metric_name, m.metric_value) for m in metrics} == {
         ("accuracy", 1.0), ("precision", 1.0), ("recall", 1.0), ("f1_score", 1.0),
     }
@@ -31,17 +30,16 @@ def test_reruns_replace_and_history_stays(spark, zones):
     write_batch(messages(spark), zones, "run-a", 0, now=NOW)
     for version in ("v1", "v2", "v2"):
         jobs.run_score(spark, zones, version=version, now=NOW)
-    assert read_table(spark, zones.metrics).count() == 8
-    assert {r.model_version for r in read_table(spark, zones.predictions).collect()} == {"v2"}
+    assert commits.read(spark, zones, "metrics").count() == 8
+    assert {r.model_version for r in commits.read(spark, zones, "predictions").collect()} == {"v2"}
     for day in ("2024-06-01", "2024-06-02", "2024-06-02"):
         last = jobs.run_report(spark, zones, as_of=day)
     assert {str(r.summary_date) for r in last.collect()} == {"2024-06-02"}
-    stored = read_table(spark, zones.summary, contract=schemas.SUMMARY)
-    assert stored.count() == 2 * last.count()
+    assert commits.read(spark, zones, "summary").count() == 2 * last.count()
 
 
 def test_warehouse_loads(spark, zones, monkeypatch):
-    """Snapshots are replaced in place, metrics are added; no connection is made here."""
+    """Every table is loaded with what the lake holds of it; no connection is made here."""
     loads = []
 
     def recorded(df, spec, table, mode="append", extra=None):
@@ -54,11 +52,11 @@ def test_warehouse_loads(spark, zones, monkeypatch):
     jobs.run_score(spark, zones, version="v1", now=NOW, jdbc=warehouse)
     jobs.run_report(spark, zones, as_of="2024-06-01", jdbc=warehouse)
     silver = jobs.read_silver(spark, zones).count()
-    summary_rows = read_table(spark, zones.summary).count()
+    summary_rows = commits.read(spark, zones, "summary").count()
     assert loads == [
         ("cleaned_patients", "overwrite", silver, True),
         ("patient_predictions", "overwrite", silver, True),
-        ("model_evaluation", "append", 4, True),
+        ("model_evaluation", "overwrite", 4, True),
         ("risk_summary", "overwrite", summary_rows, True),
     ]
 
@@ -131,13 +129,13 @@ def test_run_training(spark, zones):
     rows.select(*schemas.CLEAN).write.parquet(f"{zones.silver}/run_id=r/batch_id=0")
     best = jobs.run_training(spark, zones, model.ModelSpec(**SMALL), version="v1", now=NOW)
     assert best in ("logistic_regression", "random_forest")
-    full, test = read_table(spark, zones.predictions), read_table(spark, zones.test_predictions)
+    full, test = commits.read(spark, zones, "predictions"), commits.read(spark, zones, "test_predictions")
     assert full.count() == 400 > test.count() > 0
-    slim = read_table(spark, zones.predictions_slim)
-    assert slim.columns == list(schemas.PREDICTIONS_SLIM)
+    slim = commits.read(spark, zones, "predictions_slim")
     assert slim.exceptAll(full.select(*slim.columns)).isEmpty() and slim.count() == 400
-    stored = read_table(spark, zones.metrics, contract=schemas.METRICS)
+    stored = commits.read(spark, zones, "metrics")
     assert stored.count() == 8
+    assert jobs.load_best(spark, zones).transform(model.prepare(rows, model.ModelSpec(**SMALL))).count() == 400
     again = {r.metric_name: r.metric_value for r in evaluate.metric_rows(test, "test").collect()}
     kept = {r.metric_name: r.metric_value for r in stored.collect() if r.model_name == best}
     assert again == pytest.approx(kept)

@@ -53,7 +53,22 @@ def test_append_if_nonempty(spark, tmp_path):
     assert not sinks.append_if_nonempty(numbered(spark, 0), path)
     assert read_if_present(spark, path) is None
     assert sinks.append_if_nonempty(numbered(spark, 2), path)
+    assert not sinks.append_if_nonempty(numbered(spark, 0), path)
     assert read_if_present(spark, path).count() == 2
+    assert os.listdir(tmp_path) == ["q"]
+
+
+def test_a_probe_runs_the_frame_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = numbered(spark, 50).mapInArrow(counted, "id long, batch_number int")
+    assert sinks.append_if_nonempty(rows, str(tmp_path / "q"))
+    assert seen.value == 50
 
 
 def test_snapshot_replaces_everything(spark, tmp_path):
@@ -80,32 +95,6 @@ def test_overwritten_partitions_have_few_files(spark, tmp_path):
     assert len(files) == 10
 
 
-@pytest.mark.parametrize("session_mode", ["static", "dynamic"])
-def test_replayed_batch_replaces_itself(spark, tmp_path, session_mode):
-    path = str(tmp_path / "b")
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", session_mode)
-    try:
-        sinks.replace_batch(numbered(spark, 9), path, "r", 0, "batch_number")
-        sinks.replace_batch(numbered(spark, 5), path, "r", 1, "batch_number")
-        # The second attempt no longer has batch number 2.
-        sinks.replace_batch(numbered(spark, 2), path, "r", 0, "batch_number")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    got = {r.batch_id: r["count"] for r in read_table(spark, path).groupBy("batch_id").count().collect()}
-    assert got == {0: 2, 1: 5}
-
-
-def test_replay_that_yields_nothing_clears_the_batch(spark, tmp_path):
-    path = str(tmp_path / "bad")
-    rows = spark.createDataFrame([("s", "t", 1, "e", "x", "why", None)], schemas.ddl(schemas.BAD))
-    assert not sinks.replace_batch_if_nonempty(rows.limit(0), path, "r", 0)
-    assert not os.path.exists(path)
-    assert sinks.replace_batch_if_nonempty(rows, path, "r", 0)
-    sinks.replace_batch_if_nonempty(rows.limit(0), path, "r", 0)
-    assert read_table(spark, path, contract=schemas.BAD).count() == 0
-
-
 def test_csv(spark, tmp_path):
     path = str(tmp_path / "csv")
     sinks.export_csv(rows_table(spark, [("m", "v", "f1", 0.5, "test")], schemas.METRICS), path)

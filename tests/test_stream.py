@@ -3,10 +3,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from casemill import CleanSpec, StreamSpec, schemas
+from casemill import CleanSpec, StreamSpec, commits, schemas
 from casemill.operators import clean
 from casemill.plans import jobs
-from casemill.sources import read_if_present, read_table
+from casemill.sources import read_table
 from casemill.streaming import run_clean_stream, write_batch
 from casemill.streaming import clean_stream
 
@@ -25,6 +25,10 @@ def run(spark, path, zones, **options):
         query.awaitTermination()
 
 
+def counted(spark, zones, zone):
+    return commits.read(spark, zones, zone).count()
+
+
 def silver(spark, zones):
     return sorted(r.report_id for r in jobs.read_silver(spark, zones).collect())
 
@@ -34,7 +38,13 @@ KEYS = [record(safetyreportid=k) for k in "aab"]
 
 @pytest.mark.parametrize(
     "dedup, want",
-    [("per_batch", list("aabb")), ("global", list("ab")), ("state", list("ab")), ("watermark", list("ab"))],
+    [
+        ("per_batch", list("aabb")),
+        ("global", list("ab")),
+        ("indexed", list("ab")),
+        ("state", list("ab")),
+        ("watermark", list("ab")),
+    ],
 )
 def test_duplicates_across_batches(spark, tmp_path, zones, dedup, want):
     inbox = str(tmp_path / "inbox")
@@ -109,21 +119,23 @@ def test_new_checkpoint_keeps_history(spark, tmp_path, zones):
 def test_crash_between_zones_is_repaired(spark, tmp_path, zones, monkeypatch):
     inbox = str(tmp_path / "inbox")
     land(spark, inbox, RECORDS.values())
-    real = clean_stream.write_silver
+    real = clean_stream.stage_silver
 
     def fails(*args, **kwargs):
         real(*args, **kwargs)
         raise RuntimeError("executor lost")
 
-    monkeypatch.setattr(clean_stream, "write_silver", fails)
+    monkeypatch.setattr(clean_stream, "stage_silver", fails)
     with pytest.raises(Exception, match="executor lost"):
         run(spark, inbox, zones)
-    first = silver(spark, zones)
-    monkeypatch.setattr(clean_stream, "write_silver", real)
-    run(spark, inbox, zones)
-    assert silver(spark, zones) == first
+    # All zones were written, and none of them counts.
     assert read_table(spark, zones.bronze).count() == len(RECORDS)
-    assert read_table(spark, zones.quarantine).count() == len(REASONS)
+    assert commits.read_log(spark, zones) == []
+    monkeypatch.setattr(clean_stream, "stage_silver", real)
+    run(spark, inbox, zones)
+    assert silver(spark, zones) == sorted(r.report_id for r in clean.clean(messages(spark), now=NOW).clean.collect())
+    assert counted(spark, zones, "bronze") == len(RECORDS)
+    assert counted(spark, zones, "quarantine") == len(REASONS)
 
 
 def test_replayed_batch_changes_nothing(spark, zones):
@@ -131,7 +143,7 @@ def test_replayed_batch_changes_nothing(spark, zones):
         write_batch(messages(spark), zones, "run-a", batch_id, now=NOW)
     want = sorted(r.report_id for r in clean.clean(messages(spark), now=NOW).clean.collect())
     assert silver(spark, zones) == want
-    assert read_table(spark, zones.bronze).count() == 2 * len(RECORDS)
+    assert counted(spark, zones, "bronze") == 2 * len(RECORDS)
 
 
 def test_unheld_batch_gives_the_same_rows(spark, tmp_path, zones):
@@ -152,14 +164,17 @@ def test_unheld_stream_gives_the_same_rows(spark, tmp_path, zones):
 def test_clean_batch_leaves_no_quarantine(spark, zones):
     rows = spark.createDataFrame([(envelope(KEYS[0], 0),)], "value string")
     write_batch(rows, zones, "run-a", 0, now=NOW)
-    assert read_if_present(spark, zones.quarantine) is None
+    assert commits.read_zone(spark, zones, "quarantine", schemas.BAD) is None
 
 
 @pytest.mark.parametrize("broadcast_bytes", [0, 1_000_000])
-def test_both_ways_to_find_new_keys_agree(spark, zones, broadcast_bytes):
+@pytest.mark.parametrize("dedup", ["global", "indexed"])
+def test_both_ways_to_find_new_keys_agree(spark, zones, dedup, broadcast_bytes):
     write_batch(messages(spark, dict(a=KEYS[0])), zones, "run-a", 0, now=NOW)
     typed = clean.typed_rows(clean.parse(messages(spark, dict(enumerate(KEYS)))), now=NOW)
-    clean_stream.write_silver(typed, zones, "run-a", 1, against_stored=True, broadcast_bytes=broadcast_bytes)
+    staged = clean_stream.stage_silver(typed, zones, "run-a", 1, dedup=dedup, broadcast_bytes=broadcast_bytes)
+    assert silver(spark, zones) == ["a"]
+    commits.commit(spark, zones, staged)
     assert silver(spark, zones) == ["a", "b"]
 
 
