@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casemill.llm import collocations, hostrules, infill, topk
+from casemill.llm import collocations, exactdedup, hostrules, infill, topk
 from casemill.llm.bytebpe import op3_byte_bpe
 from casemill.llm.licenses import op10_license_scans
 from casemill.llm.neardup import op5_minhash_near_dedup
@@ -27,6 +27,7 @@ QUERIES = {
         op10_license_scans,
         collocations.op11_collocations,
         infill.op12_fill_in_middle,
+        exactdedup.op13_exact_dedup,
     )
 }
 
@@ -35,4 +36,5 @@ ORACLES: dict[str, str] = {
     "op9_quality_rules": hostrules.ORACLE,
     "op11_collocations": collocations.ORACLE,
     "op12_fill_in_middle": infill.ORACLE,
+    "op13_exact_dedup": exactdedup.ORACLE,
 }

@@ -1,0 +1,98 @@
+import hashlib
+import os
+from collections import defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from casemill.llm import exactdedup as E
+from helpers import AWKWARD, IDS, as_query, table
+
+WEAK = lambda text: F.unhex(F.substring(F.sha2(text, 256), 1, 2))  # noqa: E731  256 digests, so that texts collide
+
+
+def by_hand(rows):
+    groups = defaultdict(list)
+    for doc, text in rows:
+        groups[text or ""].append(doc)
+    out = []
+    for text, ids in groups.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        told = False
+        for doc in ids:
+            kept = doc == keep and not told
+            told |= kept
+            out.append((doc, keep, len(ids), kept, hashlib.sha256(text.encode()).hexdigest()))
+    return out
+
+
+def order(rows):
+    return sorted(map(str, map(tuple, rows)))
+
+
+def land(spark, rows, path, files=1):
+    frame = table(spark, [t for _, t in rows], [i for i, _ in rows])
+    frame.repartition(files).write.mode("append").parquet(path)
+
+
+ROWS = [*zip(IDS, AWKWARD, strict=True), (50, "one"), (None, "one"), (51, None), (7, "seven"), (7, "seven"), (None, "nobody")]
+MANY = [(100 + i, ("hot", f"text {i % 40}", f"only {i}")[i % 3]) for i in range(300)]
+
+
+@pytest.mark.parametrize("digest", [E.sha256, WEAK], ids=["sha256", "weak"])
+@pytest.mark.parametrize("broadcast_bytes", [E.BROADCAST_BYTES, 0])
+def test_state_is_kept_between_runs(spark, tmp_path, digest, broadcast_bytes):
+    """Rows arrive in three calls of several micro-batches each; later copies take over."""
+    inbox, home, seen = str(tmp_path / "in"), str(tmp_path / "home"), []
+    for rows in (ROWS, MANY, [(i and 1000 - i, t) for i, t in ROWS]):
+        land(spark, rows, inbox, 2)
+        seen += rows
+        E.observe(spark, inbox, home, digest=digest, batch_bytes=1)
+        got = E.verdicts(spark, inbox, home, digest=digest, broadcast_bytes=broadcast_bytes)
+        assert order(got.collect()) == order(by_hand(seen))
+    differing = E.torn(E.located(spark.read.parquet(inbox), digest=digest), E.hits(spark, home))
+    assert differing.isEmpty() == (digest is E.sha256)
+
+
+def test_a_failed_batch_is_done_again(spark, tmp_path, monkeypatch):
+    """A driver lost after a batch's hits were written, and before the batch counts as done."""
+    inbox, home, real = str(tmp_path / "in"), str(tmp_path / "home"), E.write_hits
+    land(spark, MANY, inbox)
+
+    def fails(*args):
+        real(*args)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(E, "write_hits", fails)
+    with pytest.raises(Exception, match="driver lost"):
+        E.observe(spark, inbox, home)
+    monkeypatch.setattr(E, "write_hits", real)
+    land(spark, ROWS, inbox)
+    E.observe(spark, inbox, home)
+    assert order(E.verdicts(spark, inbox, home).collect()) == order(by_hand(MANY + ROWS))
+
+
+def test_query(spark, tmp_path):
+    rows = as_query(spark, table(spark, AWKWARD, IDS), E.op13_exact_dedup, tmp_path)
+    assert order(rows) == order(by_hand(zip(IDS, AWKWARD, strict=True)))
+
+
+def test_empty_table(spark, tmp_path):
+    assert as_query(spark, table(spark, ["x"]).limit(0), E.op13_exact_dedup, tmp_path) == []
+
+
+def test_settings_of_the_caller_stay(spark, tmp_path):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    land(spark, MANY, str(tmp_path / "in"))
+    E.observe(spark, str(tmp_path / "in"), str(tmp_path / "home"))
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_sql(spark):
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet')")
+    want = duck.execute(E.ORACLE)
+    names = [c[0] for c in want.description]
+    assert order(E.op13_exact_dedup(spark, folder).select(*names).collect()) == order(want.fetchall())
