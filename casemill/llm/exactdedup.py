@@ -119,22 +119,22 @@ def torn(rows: DataFrame, found: DataFrame, broadcast_bytes: int = BROADCAST_BYT
 
 
 def groups(rows: DataFrame, found: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``rows`` (of ``located``) with group_size and keep; a row alone has none to keep.
+    """``rows`` (of ``located``) with group_size and keep, and without text; a row alone has none to keep.
 
     The join by digest is the planner's: it sends few hits to all tasks, and splits the
     rows of a digest that many share.
     """
     differing = stored(torn(rows, found, broadcast_bytes), "torn")
     if differing.isEmpty():
-        return rows.join(found.withColumnRenamed("members", "group_size"), "digest", "left")
+        return rows.drop("text").join(found.withColumnRenamed("members", "group_size"), "digest", "left")
     apart = rows.join(differing, "digest", "left_semi")
     by_text = apart.groupBy("digest", "text").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "file", "row")).alias("keep")
     )
-    whole = rows.join(differing, "digest", "left_anti")
+    whole = rows.drop("text").join(differing, "digest", "left_anti")
     return (
         whole.join(found.withColumnRenamed("members", "group_size"), "digest", "left")
-        .unionByName(apart.join(by_text, ["digest", "text"]))
+        .unionByName(apart.join(by_text, ["digest", "text"]).drop("text"))
     )
 
 
@@ -153,7 +153,7 @@ def verdicts(
     with the largest id stays; null ids come last, and of rows with one id the one that lies
     last by file and row stays. Other columns are not read, whatever their names.
     """
-    rows = located(spark.read.parquet(path), text, key, digest)
+    rows = located(spark.read.parquet(path), text, key, digest).withColumn("text_sha256", F.sha2("text", 256))
     marked = groups(rows, hits(spark, home), broadcast_bytes)
     alone = F.col("keep").isNull()
     stays = (F.col("keep.file") == F.col("file")) & (F.col("keep.row") == F.col("row"))
@@ -162,7 +162,7 @@ def verdicts(
         F.when(alone, F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).alias("group_size"),
         (alone | stays).alias("kept"),
-        F.sha2("text", 256).alias("text_sha256"),
+        "text_sha256",
     )
 
 
