@@ -51,6 +51,8 @@ def _stream_session(spark: SparkSession) -> SparkSession:
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    # Else each partition's store takes megabytes of disk before it holds a row.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return session
 
