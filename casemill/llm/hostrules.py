@@ -1,14 +1,17 @@
 """Quality rules per document, judged with what is known of the document's host.
 
 Each rule measures a document. Over its limit counts one point, over twice the limit two.
-Failures are counted per host, and each host's rate is shrunk towards all hosts' mean by
-a beta prior fitted to the hosts' rates by moments, so that a host of few documents is
-not condemned for one. A host whose shrunk rate is high is condemned for that rule, which
-adds a point to each of its documents that fails it. Two points reject a document; one
-that fails no rule is kept, whatever its host.
-
-Built-in expressions only. The three numbers per rule that describe all hosts are the
-only ones that come to the driver.
+Failures are counted per host, those of the base rule too, and each host's rate is shrunk
+towards the hosts' mean rate by a beta prior. How much hosts differ, and so the prior's
+weight, is told by pairs: two documents of one host fail together more often than two
+documents at large only where hosts differ. A host that still has a high rate without the document in question is
+condemned for that rule, which adds a point to each of its documents that fails it; one
+condemned for the base rule adds a point to those that fail any rule. So a document is
+never evidence against itself, a host of one document is never condemned, and two points
+reject a document. One that fails no rule is kept, whatever its host.
+
+Built-in expressions only. The sums per rule that describe all hosts are the only numbers
+that come to the driver.
 """
 
 from __future__ import annotations
@@ -40,7 +43,11 @@ RULES = (
         "word_chars < 3 * n_words OR word_chars > 12 * n_words",
         "2 * word_chars < 3 * n_words OR word_chars > 24 * n_words",
     ),
+    Rule("letters", "10 * n_bare_words > 3 * n_words", "10 * n_bare_words > 6 * n_words"),
+    Rule("endings", "10 * n_open_lines > 3 * n_lines", "10 * n_open_lines > 6 * n_lines"),
 )
+LETTER = r"[A-Za-z\x{80}-\x{10FFFF}]"  # a letter, or anything beyond ASCII
+OPEN = r"(\.\.\.|\x{2026})[\x20\x09-\x0D]*\z"  # a line that breaks off
 BASE_FAILED = "n_words < 20 OR 100 * n_repeat_words > 30 * n_words"
 
 
@@ -53,7 +60,8 @@ def _twice(items: str) -> Column:
 
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words.
+    """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words,
+    n_bare_words (without a letter) and n_open_lines (that end in three dots).
 
     A word stands in a repeated window if the text holds the window's words twice. Hashes
     of windows are compared first: equal windows have equal hashes, so a text whose hashes
@@ -70,6 +78,8 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
                 "n_words": F.size("_words").cast("long"),
                 "word_chars": F.length(F.array_join("_words", "")).cast("long"),
                 "n_lines": F.size("_lines").cast("long"),
+                "n_bare_words": F.size(F.filter("_words", lambda w: ~w.rlike(LETTER))).cast("long"),
+                "n_open_lines": F.size(F.filter("_lines", lambda line: line.rlike(OPEN))).cast("long"),
                 "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
                 "_hashes": F.expr(
                     f"CASE WHEN size(_words) < {WINDOW} THEN CAST(array() AS array<bigint>)"
@@ -105,37 +115,56 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def prior(hosts: int, rates: float, paired: int, pairs: float) -> tuple[float, float] | None:
+    """The mean rate of hosts, and the weight in documents of the prior; None if hosts do not differ.
+
+    By moments: ``rates`` is the sum of the hosts' rates, ``pairs`` that of the shares of
+    failing pairs in the ``paired`` hosts of two documents and more. Neither grows with
+    the noise of small hosts: pairs fail together more often than the mean's square only
+    where hosts differ, and a host of one document has none.
+    """
+    if not hosts or not paired:
+        return None
+    rate = rates / hosts
+    between = pairs / paired - rate * rate
+    if not 0.0 < rate < 1.0 or between <= 1e-12:
+        return None
+    return rate, max(rate * (1 - rate) / between - 1, 0.0)
+
+
 def judge(rows: DataFrame, host: str) -> DataFrame:
     """``rows`` (stored measures) with base_failed and kept. A null host is a host like any other."""
     points = {r.name: F.expr(f"int({r.fails}) + int({r.gross})") for r in RULES}
+    points["base"] = F.expr(f"int({BASE_FAILED})")
     marked = rows.withColumns(
         {"_host": F.coalesce(F.col(host), F.lit("")), **{f"_{n}": p for n, p in points.items()}}
     )
-    counted = marked.groupBy("_host").agg(
-        F.count("*").alias("_n"), *[F.sum(F.signum(f"_{r.name}").cast("long")).alias(f"_{r.name}_failed") for r in RULES]
-    )
-    hosts = stored(counted, "hosts")
-    facts = []
-    for r in RULES:
-        rate = F.col(f"_{r.name}_failed") / F.col("_n")
-        facts += [F.avg(rate).alias(f"{r.name}_mean"), F.var_samp(rate).alias(f"{r.name}_var")]
-    prior = hosts.agg(*facts).first()
+    failures = [F.sum(F.signum(f"_{n}").cast("long")).alias(f"_{n}_failed") for n in points]
+    hosts = stored(marked.groupBy("_host").agg(F.count("*").alias("_n"), *failures), "hosts")
+    n = F.col("_n").cast("double")
+    sums = [F.count("*").alias("hosts"), F.count_if(n > 1).alias("paired")]
+    for name in points:
+        f = F.col(f"_{name}_failed").cast("double")
+        together = F.when(n > 1, f * (f - 1) / (n * (n - 1)))
+        sums += [F.sum(f / n).alias(f"{name}_rates"), F.sum(together).alias(f"{name}_pairs")]
+    facts = hosts.agg(*sums).first()
     verdicts = []
-    for r in RULES:
-        mean, var = prior[f"{r.name}_mean"] or 0.0, prior[f"{r.name}_var"] or 0.0
-        # Moments of a beta distribution; hosts that do not differ are taken as one.
-        weight = min(max(mean * (1 - mean) / var - 1, 1.0), 1e6) if var > 1e-12 else 1e6
-        shrunk = (F.col(f"_{r.name}_failed") + mean * weight) / (F.col("_n") + weight)
-        verdicts.append(((shrunk >= HIGH) & (shrunk >= 2 * mean)).alias(f"_{r.name}_host"))
+    for name in points:
+        found = prior(facts["hosts"], facts[f"{name}_rates"], facts["paired"], facts[f"{name}_pairs"])
+        condemned = F.lit(False)
+        if found:
+            rate, weight = found
+            others = (F.col(f"_{name}_failed") - 1 + rate * weight) / (F.col("_n") - 1 + weight)
+            condemned = (F.col("_n") > 1) & (F.col(f"_{name}_failed") > 0) & (others >= max(HIGH, 2 * rate))
+        verdicts.append(condemned.alias(f"_{name}_host"))
     judged = marked.join(hosts.select("_host", *verdicts), "_host")
-    total = sum(
-        (F.col(f"_{r.name}") + (F.col(f"_{r.name}_host") & (F.col(f"_{r.name}") > 0)).cast("int") for r in RULES),
-        F.lit(0),
-    )
-    extra = [c for r in RULES for c in (f"_{r.name}", f"_{r.name}_host")]
+    own = sum((F.col(f"_{r.name}") for r in RULES), F.lit(0))
+    added = sum(((F.col(f"_{r.name}_host") & (F.col(f"_{r.name}") > 0)).cast("int") for r in RULES), F.lit(0))
+    added += (F.col("_base_host") & (own > 0)).cast("int")
+    extra = [c for name in points for c in (f"_{name}", f"_{name}_host")]
     return (
-        judged.withColumn("base_failed", F.expr(BASE_FAILED))
-        .withColumn("kept", ~F.col("base_failed") & (total < 2))
+        judged.withColumn("base_failed", F.col("_base") > 0)
+        .withColumn("kept", ~F.col("base_failed") & (own + added < 2))
         .drop("_host", *extra)
     )
 
@@ -146,7 +175,7 @@ def quality_verdicts(docs: DataFrame, text: str = "text", host: str = "source",
     A null or empty text has no words and fails. Null and repeated ids are rows like any other.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(host).alias("host"))
-    return judge(stored(measures(rows).drop("text"), "measures"), "host").drop("host", "n_lines")
+    return judge(stored(measures(rows).drop("text"), "measures"), "host").drop("host", "n_lines", "n_bare_words", "n_open_lines")
 
 
 def passed(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
@@ -172,40 +201,46 @@ WITH words AS (
   SELECT r, sum(least(8, coalesce(after - i, 8))) AS n
   FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS after FROM repeated) GROUP BY r
 ), lines AS (
-  SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+  SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup,
+         count(*) FILTER (regexp_matches(line, '(\\.\\.\\.|\\x{2026})[\\x20\\x09-\\x0D]*\\z')) AS open
   FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM words)
   WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r
 ), m AS (
   SELECT words.r, doc_id, host, CAST(len(w) AS BIGINT) AS n_words,
          CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         len([x FOR x IN w IF NOT regexp_matches(x, '[A-Za-z\\x{80}-\\x{10FFFF}]')]) AS bare, coalesce(open, 0) AS open,
          CAST(coalesce(lines.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
   FROM words LEFT JOIN lines USING (r) LEFT JOIN covered USING (r)
 ), p AS (
-  SELECT *, CAST(10 * n_symbols > n_words AS INT) + CAST(5 * n_symbols > n_words AS INT) AS a,
-         CAST(10 * n_dup_lines > 3 * n_lines AS INT) + CAST(10 * n_dup_lines > 6 * n_lines AS INT) AS b,
-         CAST(word_chars < 3 * n_words OR word_chars > 12 * n_words AS INT)
-         + CAST(2 * word_chars < 3 * n_words OR word_chars > 24 * n_words AS INT) AS c FROM m
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         [CAST(10 * n_symbols > n_words AS INT) + CAST(5 * n_symbols > n_words AS INT),
+          CAST(10 * n_dup_lines > 3 * n_lines AS INT) + CAST(10 * n_dup_lines > 6 * n_lines AS INT),
+          CAST(word_chars < 3 * n_words OR word_chars > 12 * n_words AS INT)
+          + CAST(2 * word_chars < 3 * n_words OR word_chars > 24 * n_words AS INT),
+          CAST(10 * bare > 3 * n_words AS INT) + CAST(10 * bare > 6 * n_words AS INT),
+          CAST(10 * open > 3 * n_lines AS INT) + CAST(10 * open > 6 * n_lines AS INT)] AS points FROM m
+), marks AS (
+  SELECT r, host, rule, CASE WHEN rule = 6 THEN CAST(base_failed AS INT) ELSE points[rule] END AS mark,
+         list_sum(points) AS own
+  FROM p, (SELECT unnest(range(1, 7)) AS rule)
 ), hosts AS (
-  SELECT host, count(*) AS n, sum(sign(a)) AS fa, sum(sign(b)) AS fb, sum(sign(c)) AS fc FROM p GROUP BY host
+  SELECT host, rule, count(*) * 1e0 AS n, count(*) FILTER (mark > 0) * 1e0 AS f FROM marks GROUP BY ALL
+), common AS (
+  SELECT rule, avg(f / n) AS rate, avg(f * (f - 1) / (n * (n - 1))) FILTER (n > 1) AS pairs FROM hosts GROUP BY rule
 ), prior AS (
-  SELECT avg(fa / n) AS ma, var_samp(fa / n) AS va, avg(fb / n) AS mb, var_samp(fb / n) AS vb,
-         avg(fc / n) AS mc, var_samp(fc / n) AS vc FROM hosts
-), weights AS (
-  SELECT *, CASE WHEN va > 1e-12 THEN least(greatest(ma * (1 - ma) / va - 1, 1.0), 1e6) ELSE 1e6 END AS wa,
-         CASE WHEN vb > 1e-12 THEN least(greatest(mb * (1 - mb) / vb - 1, 1.0), 1e6) ELSE 1e6 END AS wb,
-         CASE WHEN vc > 1e-12 THEN least(greatest(mc * (1 - mc) / vc - 1, 1.0), 1e6) ELSE 1e6 END AS wc FROM prior
+  SELECT rule, rate, CASE WHEN rate > 0 AND rate < 1 AND pairs - rate * rate > 1e-12
+    THEN greatest(rate * (1 - rate) / (pairs - rate * rate) - 1, 0) END AS weight FROM common
 ), verdicts AS (
-  SELECT host, (fa + ma * wa) / (n + wa) >= greatest(0.2, 2 * ma) AS ha,
-         (fb + mb * wb) / (n + wb) >= greatest(0.2, 2 * mb) AS hb,
-         (fc + mc * wc) / (n + wc) >= greatest(0.2, 2 * mc) AS hc FROM hosts, weights
-), judged AS (
-  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-         a + b + c + CAST(ha AND a > 0 AS INT) + CAST(hb AND b > 0 AS INT) + CAST(hc AND c > 0 AS INT) AS points
-  FROM p JOIN verdicts USING (host)
+  SELECT host, rule, n > 1 AND f > 0
+    AND (f - 1 + rate * weight) / (n - 1 + weight) >= greatest(0.2e0, 2 * rate) AS condemned
+  FROM hosts JOIN prior USING (rule)
+), added AS (
+  SELECT r, sum(CAST(coalesce(condemned, false) AND CASE WHEN rule = 6 THEN own > 0 ELSE mark > 0 END AS INT)) AS more
+  FROM marks JOIN verdicts USING (host, rule) GROUP BY r
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND points < 2 AS kept
-FROM judged
+       NOT base_failed AND list_sum(points) + more < 2 AS kept
+FROM p JOIN added USING (r)
 """

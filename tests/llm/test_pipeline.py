@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from casemill.llm import hostrules
 from helpers import AWKWARD, IDS, PASSAGE, SMALL, table
-from test_hostrules import want as measured
+from test_hostrules import own_points
 from test_neardup import want as components
 from test_pii import brute as personal
 from test_tokens import check_packing
@@ -38,11 +38,8 @@ def quality(rows, hosts):
     """Two points or the base rule reject; the hosts of these tables are too even to be condemned."""
     out = []
     for doc, text in rows:
-        _, n, chars, symbols, dup, _, failed = measured(doc, text)
-        lines = len([x for x in (text or "").split("\n") if re.search(WORD, x)])
-        points = (10 * symbols > n) + (5 * symbols > n) + (10 * dup > 3 * lines) + (10 * dup > 6 * lines)
-        points += (chars < 3 * n or chars > 12 * n) + (2 * chars < 3 * n or chars > 24 * n)
-        if not failed and points < 2:
+        points, failed = own_points(text)
+        if not failed and sum(points) < 2:
             out.append((doc, text))
     return out
 
