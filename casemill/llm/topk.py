@@ -24,7 +24,7 @@ _LARGE = (1 << 63) - 1
 
 
 def whole_vectors(frame: DataFrame, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
-    """(vec_id, dim, v): components as floor(256 x). One row per id, the least where ids repeat.
+    """(vec_id, dim, v): components as floor(256 x). Rows whose ids repeat are rows like others.
 
     Rows without an id, without a vector, or with a null or non-finite component are left out.
     """
@@ -33,21 +33,19 @@ def whole_vectors(frame: DataFrame, vector: str = "embedding", key: str = "vec_i
     return (
         frame.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & sound)
         .select(F.col(key).cast("long").alias("vec_id"), whole.alias("v"))
-        .groupBy("vec_id")
-        .agg(F.min("v").alias("v"))
         .withColumn("dim", F.size("v"))
     )
 
 
 def _blocks(rows: DataFrame, block: Column, *more: str) -> DataFrame:
     """One row per block of vectors of one length."""
-    return rows.groupBy("dim", block.alias("block")).agg(F.collect_list(F.struct("vec_id", "v", *more)).alias("held"))
+    return rows.groupBy("dim", block.alias("block")).agg(F.collect_list(F.struct("row", "vec_id", "v", *more)).alias("held"))
 
 
 def _matrix(held: pa.Scalar, dim: int) -> tuple[np.ndarray, np.ndarray, pa.StructArray]:
     rows = held.values
     values = rows.field("v").flatten().to_numpy(zero_copy_only=False)
-    return rows.field("vec_id").to_numpy(zero_copy_only=False), values.reshape(len(rows), dim), rows
+    return rows.field("row").to_numpy(zero_copy_only=False), values.reshape(len(rows), dim), rows
 
 
 def _scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -67,19 +65,20 @@ def _rank_floor(scores: np.ndarray, need: int) -> int:
 
 
 def _each(frame: DataFrame, out: str, work) -> DataFrame:
-    """``work`` on each query's scores in a block: (query id, ids, scores, state) -> arrays of the columns."""
+    """``work`` on each query's scores in a block: (query row, ids, scores, state) -> arrays of the columns."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 dim = batch.column(0)[i].as_py()
-                ids, rows, _ = _matrix(batch.column(1)[i], dim)
+                places, rows, fields = _matrix(batch.column(1)[i], dim)
+                ids = fields.field("vec_id").to_numpy(zero_copy_only=False)
                 asked, queries, state = _matrix(batch.column(2)[i], dim)
                 known = [state.field(n).to_numpy(zero_copy_only=False) for n in ("shift", "prefix", "need")]
                 found = []
                 scores = _scores(queries, rows)
                 for q, query in enumerate(asked):
-                    other = ids != query
+                    other = places != query
                     found.append(work(int(query), ids[other], scores[q][other], *(int(k[q]) for k in known)))
                 columns = [np.concatenate(c) for c in zip(*found, strict=True)]
                 names = [c.split()[0] for c in out.split(", ")]
@@ -114,54 +113,57 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest scores of each row that ``queries`` selects.
 
     ``vectors`` as from ``whole_vectors``. Rows score with rows of their own length; a
-    query's own row is left out; ties go to the smaller id; a query with fewer than k
-    others gets them all.
+    query's own row is left out, and no other; ties go to the smaller id; a query with
+    fewer than k others gets them all. Rows that share an id are queries and candidates each
+    for itself, so such an id has several rows of one rank.
     """
     spark = vectors.sparkSession
-    rows = stored(vectors, "vectors")
+    rows = stored(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
     asked = rows.where(queries)
     facts = rows.agg(F.count("*"), F.max("dim"), F.max(F.greatest(F.array_max("v"), -F.array_min("v")))).first()
     parts = max(1, -(-facts[0] // ROWS))
     groups = max(1, -(-asked.count() // QUERIES))
     bits = min(63, (max(1, (facts[1] or 0) * (facts[2] or 0) ** 2)).bit_length() + 1)
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")
+    block = F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")
     held = stored(_blocks(rows, block).withColumnRenamed("held", "rows"), "blocks")
-    group = F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int")
+    group = F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int")
     # shift 63: nothing is known yet; a query stays so if it has fewer than k others.
     start = {"shift": F.lit(63).cast("long"), "prefix": F.lit(0).cast("long"), "need": F.lit(k).cast("long")}
-    state = asked.select("vec_id", *[c.alias(n) for n, c in start.items()])
+    state = asked.select("row", *[c.alias(n) for n, c in start.items()])
 
     def paired(state: DataFrame) -> DataFrame:
-        sets = _blocks(asked.join(state, "vec_id"), group, "shift", "prefix", "need")
+        sets = _blocks(asked.join(state, "row"), group, "shift", "prefix", "need")
         sets = sets.select("dim", F.col("held").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block"))
         return held.join(sets, ["dim", "block"]).select("dim", "rows", "queries")
 
-    best_first = Window.partitionBy("query_id").orderBy(F.desc("bin"))
+    best_first = Window.partitionBy("query").orderBy(F.desc("bin"))
     while bits > 0:
         bits = max(0, bits - BITS)
-        counts = _each(paired(state), "query_id long, bin long, n long", _histogram(bits))
-        sums = counts.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
+        counts = _each(paired(state), "query long, bin long, n long", _histogram(bits))
+        sums = counts.groupBy("query", "bin").agg(F.sum("n").alias("n"))
         upto = sums.withColumn("upto", F.sum("n").over(best_first)).join(
-            state.select(F.col("vec_id").alias("query_id"), "need"), "query_id"
+            state.select(F.col("row").alias("query"), "need"), "query"
         )
         held_at = upto.where("upto >= need AND upto - n < need").select(
-            F.col("query_id").alias("vec_id"),
+            F.col("query").alias("row"),
             F.lit(bits).cast("long").alias("next"),
             "bin",
             (F.col("need") - F.col("upto") + F.col("n")).alias("left"),
         )
         state = stored(
-            state.join(held_at, "vec_id", "left").select(
-                "vec_id",
+            state.join(held_at, "row", "left").select(
+                "row",
                 F.coalesce("next", "shift").alias("shift"),
                 F.coalesce("bin", "prefix").alias("prefix"),
                 F.coalesce("left", "need").alias("need"),
             ),
             "selection",
         )
-    found = _each(paired(state), "query_id long, vec_id long, score long", _best)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = _each(paired(state), "query long, vec_id long, score long", _best)
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    first = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ids = asked.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
+    return first.join(ids, "query").select("query_id", "rank", "vec_id", "score")
 
 
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,17 +173,16 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, min(v) AS v FROM (
-    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
-    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
-  ) GROUP BY vec_id
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.r, q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_inner_product(q.v :: DOUBLE[], c.v :: DOUBLE[]) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.r <> c.r AND len(q.v) = len(c.v)
 ), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+  SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """

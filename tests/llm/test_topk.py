@@ -12,15 +12,16 @@ KIND = "vec_id long, embedding array<float>, label int, v string, dim string"
 
 
 def brute(rows, k=5):
-    least = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            whole = [math.floor(256 * x) for x in v]
-            least[i] = min(least.get(i, whole), whole)
+    held = [
+        (i, [math.floor(256 * x) for x in v])
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
     out = []
-    for q, a in least.items():
+    for at, (q, a) in enumerate(held):
         if q % 50 == 0:
-            scores = [(-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in least.items() if i != q and len(a) == len(b)]
+            others = [(i, b) for other, (i, b) in enumerate(held) if other != at and len(a) == len(b)]
+            scores = [(-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in others]
             out += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:k], 1)]
     return sorted(out)
 
@@ -41,6 +42,14 @@ def test_ties_and_awkward_rows(spark, tmp_path, seed):
     assert run(spark, rows, tmp_path) == brute(rows)
 
 
+def test_rows_of_one_id(spark, tmp_path):
+    """Rows that share an id differ, score with each other, and are asked each for itself."""
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [1.0, 0.0]), (7, [2.0, 2.0]), (7, [2.0, 2.0]), (0, [0.5, 0.5])]
+    got = run(spark, rows, tmp_path)
+    assert got == brute(rows)
+    assert got.count((50, 1, 7, 131072)) == 3 and (50, 3, 50, 65536) in got
+
+
 def test_large_components(spark, tmp_path):
     rng = random.Random(5)
     rows = [(i, [rng.uniform(-1, 1) * 2.0 ** rng.randrange(22) for _ in range(4)]) for i in range(60)]
