@@ -122,3 +122,8 @@ def display(*columns: str) -> Column:
 def hash_percent(key: Column) -> Column:
     """A stable bucket 0..99 from the key alone, whatever the partitioning."""
     return (F.conv(F.substring(F.md5(key.cast("string")), 1, 4), 16, 10).cast("int") % 100).cast("int")
+
+
+def hash_fold(key: Column, folds: int) -> Column:
+    """A stable fold 0..folds-1 from the key alone, by other digits than ``hash_percent``."""
+    return (F.conv(F.substring(F.md5(key.cast("string")), 5, 4), 16, 10).cast("int") % folds).cast("int")

@@ -84,6 +84,14 @@ class Zones:
     def summary(self) -> str:
         return self._at("reporting/risk_summary")
 
+    @property
+    def windows(self) -> str:
+        return self._at("reporting/windows")
+
+    @property
+    def sketches(self) -> str:
+        return self._at("reporting/sketches")
+
     @property
     def summary_parts(self) -> str:
         return self._at("reporting/risk_summary_parts")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
+from itertools import product
 
+import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import FeatureHasher, Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from casemill import schemas
@@ -29,8 +31,10 @@ class ModelSpec:
     numeric: tuple[str, ...] = ("patient_age", "patient_weight", "batch_number")
     categorical: tuple[str, ...] = ("patient_sex", "medicinal_product", "reaction", "receipt_date")
     train_percent: int = 80
+    folds: int = 3
     seed: int = 42
     max_iter: int = 20
+    tolerance: float = 1e-6
     reg_param: float = 0.0
     elastic_net: float = 0.0
     trees: int = 100
@@ -99,7 +103,7 @@ def learners(spec: ModelSpec = ModelSpec()) -> dict[str, Estimator]:
     common = {"featuresCol": "feature_vector", "labelCol": spec.label}
     return {
         "logistic_regression": LogisticRegression(
-            maxIter=spec.max_iter, regParam=spec.reg_param, elasticNetParam=spec.elastic_net, **common
+            maxIter=spec.max_iter, tol=spec.tolerance, regParam=spec.reg_param, elasticNetParam=spec.elastic_net, **common
         ),
         "random_forest": RandomForestClassifier(
             numTrees=spec.trees, maxDepth=spec.depth, seed=spec.seed, **common
@@ -107,17 +111,42 @@ def learners(spec: ModelSpec = ModelSpec()) -> dict[str, Estimator]:
     }
 
 
-def _tuned(learner: Estimator, grid: Mapping[str, list], spec: ModelSpec) -> Estimator:
-    builder = ParamGridBuilder()
-    for name, options in grid.items():
-        builder = builder.addGrid(learner.getParam(name), options)
-    return TrainValidationSplit(
-        estimator=learner,
-        estimatorParamMaps=builder.build(),
-        evaluator=MulticlassClassificationEvaluator(labelCol=spec.label, metricName="f1"),
-        trainRatio=spec.train_percent / 100,
-        seed=spec.seed,
+def candidates(grid: Mapping[str, list]) -> dict[str, dict]:
+    """Every combination of a grid's values, by a text that names it."""
+    combined = ({name: value for name, value in zip(grid, values_, strict=True)} for values_ in product(*grid.values()))
+    return {json.dumps(c, sort_keys=True): c for c in combined}
+
+
+def cross_validate(vectors: DataFrame, learner: Estimator, grid: Mapping[str, list], spec: ModelSpec = ModelSpec()) -> DataFrame:
+    """(parameters, fold, metric_name, metric_value): every candidate, learned without each fold and tried on it.
+
+    ``vectors`` hold the label, ``feature_vector`` and ``fold``. Folds go by a hash of the
+    key, so the same rows are held out for all candidates, in every run.
+    """
+    tried = None
+    for text, values_ in candidates(grid).items():
+        chosen = learner.copy({learner.getParam(name): value for name, value in values_.items()})
+        for fold in range(spec.folds):
+            fitted = chosen.fit(vectors.where(F.col("fold") != fold))
+            told = fitted.transform(vectors.where(F.col("fold") == fold)).select(
+                F.lit(text).alias("parameters"), "fold", spec.label, "prediction"
+            )
+            tried = told if tried is None else tried.unionByName(told)
+    return evaluate.metrics(tried, spec.label, "prediction", by=["parameters", "fold"])
+
+
+def choose(tried: DataFrame, metric: str = "f1_score") -> str:
+    """The parameters with the best mean over the folds; of equal ones the first by text.
+
+    Means are compared to nine digits, so that the order in which they were added up
+    does not settle a tie.
+    """
+    means = (
+        tried.where(F.col("metric_name") == metric)
+        .groupBy("parameters")
+        .agg(F.round(F.avg("metric_value"), 9).alias("mean"))
     )
+    return means.orderBy(F.desc("mean"), "parameters").first()["parameters"]
 
 
 def train(
@@ -129,24 +158,54 @@ def train(
 
     The feature stages are fitted once and their output kept while the learners
     iterate over it. ``grids`` (model name -> parameter -> values) searches
-    parameters on a held-out part of the training rows.
+    parameters by cross-validation over the training rows.
     """
     prepared = prepare(rows, spec)
     features = Pipeline(stages=feature_stages(prepared, spec)).fit(prepared)
-    vectors = features.transform(prepared).select(spec.label, "feature_vector").persist()
+    fold = values.hash_fold(F.coalesce(F.col(spec.key).cast("string"), F.lit("")), spec.folds).alias("fold")
+    vectors = features.transform(prepared).select(spec.label, "feature_vector", fold).persist()
     try:
         fitted = {}
         for name, learner in learners(spec).items():
             if grids and name in grids:
-                model = _tuned(learner, grids[name], spec).fit(vectors).bestModel
-            else:
-                model = learner.fit(vectors)
-            fitted[name] = PipelineModel(stages=[*features.stages, model])
+                best = candidates(grids[name])[choose(cross_validate(vectors, learner, grids[name], spec))]
+                learner = learner.copy({learner.getParam(k): v for k, v in best.items()})
+            fitted[name] = PipelineModel(stages=[*features.stages, learner.fit(vectors)])
         return fitted
     finally:
         vectors.unpersist()
 
 
+def optimum(model: PipelineModel, rows: DataFrame, spec: ModelSpec = ModelSpec()) -> DataFrame:
+    """(coefficient, gradient): the loss's slope in each coefficient of a fitted logistic regression, the intercept last.
+
+    Where it is zero in all of them, the fit is the optimum, as the loss is convex. The
+    slope is that of the mean log loss plus the squared penalty on standardised
+    coefficients; a penalty on absolute values has none. Two sums over the rows give it.
+    """
+    last = model.stages[-1]
+    if last.getOrDefault("elasticNetParam") != 0.0:
+        raise ValueError("a penalty on absolute values has no slope at zero")
+    scored = model.transform(prepare(rows, spec))
+    label, taken = F.col(spec.label), F.get(vector_to_array("probability"), F.lit(1))
+    # By how much each row's probability is off; sums of weights want no negative ones.
+    off = F.abs(taken - label)
+    sums = Summarizer.metrics("mean")
+    sides = scored.groupBy(spec.label).agg(
+        sums.summary(F.col("feature_vector"), off).alias("off"), F.sum(off).alias("weight"), F.count(F.lit(1)).alias("n")
+    ).collect()
+    spread = scored.agg(Summarizer.std(F.col("feature_vector")).alias("std")).first()["std"].toArray()
+    total = sum(side["n"] for side in sides)
+    slope, intercept = np.zeros(len(spread)), 0.0
+    for side in sides:
+        sign = -1 if side[spec.label] == 1 else 1
+        slope += sign * side["weight"] * side["off"]["mean"].toArray() / total
+        intercept += sign * side["weight"] / total
+    slope += last.getOrDefault("regParam") * spread**2 * last.coefficients.toArray()
+    rows_ = [(i, float(g)) for i, g in enumerate([*slope, intercept])]
+    return scored.sparkSession.createDataFrame(rows_, "coefficient int, gradient double")
+
+
 def predict(
     model: PipelineModel, rows: DataFrame, name: str, version: str, spec: ModelSpec = ModelSpec(), now=None
 ) -> DataFrame:

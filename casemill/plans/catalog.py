@@ -8,6 +8,7 @@ that results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -18,7 +19,7 @@ from casemill.files import sizes
 from casemill.functions import nested, values
 from casemill.layout import scratch_folder
 from casemill.operators import clean as cleaning
-from casemill.operators import dedup, evaluate, ingest, model, profile, reports, score, summary
+from casemill.operators import dedup, dictionary, evaluate, ingest, model, profile, reports, score, summary
 from casemill.plans import jobs
 from casemill.plans.samples import (
     AS_OF,
@@ -34,6 +35,7 @@ from casemill.plans.samples import (
 from casemill.sources import read_table, spread
 from casemill.streaming import run_clean_stream, write_batch
 from casemill.streaming.clean_stream import LATE, compact_zones, stage_batch
+from casemill.streaming.windows import WINDOW, run_window_stream, sessions, tumbling
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,7 +79,7 @@ def scan_project_events(spark, sf_dir):
 def read_many_paths(spark, sf_dir):
     base = scratch_folder(spark, "paths")
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    errors = F.col("event_type") == "error"
+    errors = F.col("event_type").eqNullSafe("error")
     sinks.overwrite_snapshot(events.filter(errors), f"{base}/errors")
     sinks.overwrite_snapshot(events.filter(~errors), f"{base}/others")
     return read_table(spark, f"{base}/errors", None, "", f"{base}/others")
@@ -582,8 +584,8 @@ def sink_roundtrip_parquet(spark, sf_dir):
     path = scratch_folder(spark, "bronze")
     events = table(spark, sf_dir, "events").withColumn("batch_number", F.dayofmonth("ts"))
     rows = events.select("event_id", "event_type", "batch_number")
-    sinks.append_partitioned(rows.filter("event_type = 'error'"), path)
-    sinks.append_partitioned(rows.filter("event_type <> 'error'"), path)
+    sinks.append_partitioned(rows.filter("event_type <=> 'error'"), path)
+    sinks.append_partitioned(rows.filter("NOT event_type <=> 'error'"), path)
     return read_table(spark, path)
 
 
@@ -636,6 +638,10 @@ def _streamed(spark, sf_dir, cycles: int = 1, **options) -> Zones:
     return zones
 
 
+def _silver_rows(spark, zones: Zones) -> DataFrame:
+    return _comparable(jobs.read_silver(spark, zones).withColumn("raw_record", F.md5("raw_record")))
+
+
 def _silver_ids(spark, zones: Zones) -> DataFrame:
     return jobs.read_silver(spark, zones).select("report_id")
 
@@ -643,8 +649,7 @@ def _silver_ids(spark, zones: Zones) -> DataFrame:
 @query
 def stream_clean_equals_batch(spark, sf_dir):
     """One micro-batch over everything: the same rows as ``silver_clean``."""
-    rows = jobs.read_silver(spark, _streamed(spark, sf_dir))
-    return _comparable(rows.withColumn("raw_record", F.md5("raw_record")))
+    return _silver_rows(spark, _streamed(spark, sf_dir))
 
 
 @query
@@ -656,13 +661,13 @@ def stream_bronze(spark, sf_dir):
 @query
 def stream_dedup_per_batch(spark, sf_dir):
     """The same reports sent in two cycles: silver holds every id once per cycle."""
-    return _silver_ids(spark, _streamed(spark, sf_dir, cycles=2, dedup="per_batch"))
+    return _silver_rows(spark, _streamed(spark, sf_dir, cycles=2, dedup="per_batch"))
 
 
 @query
 def stream_dedup_global(spark, sf_dir):
-    """The same reports sent in two cycles: silver holds every id once."""
-    return _silver_ids(spark, _streamed(spark, sf_dir, cycles=2, dedup="global"))
+    """The same reports sent in two cycles: silver holds every id once, as the first cycle had it."""
+    return _silver_rows(spark, _streamed(spark, sf_dir, cycles=2, dedup="global"))
 
 
 @query
@@ -708,7 +713,7 @@ def stream_dedup_indexed(spark, sf_dir):
     """Five micro-batches, each with all events of the ones before, looked up in the index of keys."""
     files = [(n, f"event_id % 5 <= {n}") for n in range(5)]
     zones = _stream_files(spark, sf_dir, files, dedup="indexed", compact_every=3)
-    return _comparable(jobs.read_silver(spark, zones).withColumn("raw_record", F.md5("raw_record")))
+    return _silver_rows(spark, zones)
 
 
 def _zone_rows(spark, zones: Zones, moment: str) -> DataFrame:
@@ -809,6 +814,68 @@ def summary_incremental(spark, sf_dir):
     return _comparable(_rounded(rows, "average_probability"))
 
 
+@query
+def distinct_stored(spark, sf_dir):
+    """Distinct counts from sketches per batch, one batch replaced, beside the exact ones."""
+    zones = Zones(scratch_folder(spark, "sketches"))
+
+    def write(batch_id: int, where: str) -> None:
+        write_batch(messages(spark, sf_dir, where=where), zones, "run-1", batch_id, dedup="per_batch", now=NOW)
+
+    write(0, "event_id % 2 = 0")
+    write(1, "event_id % 4 = 1")
+    jobs.distinct_counts(spark, zones)
+    write(1, "event_id % 2 = 1 AND event_type <> 'view'")
+    told = jobs.distinct_counts(spark, zones)
+    silver = jobs.read_silver(spark, zones)
+    names = ["report_id", "patient_sex", "medicinal_product"]
+    exact = silver.agg(*(F.count_distinct(n).alias(n) for n in names)).unpivot([], names, "column_name", "exact")
+    off = F.abs(F.col("estimate") - F.col("exact"))
+    within = (off <= profile.SKETCH_ERROR * F.col("exact")).cast("int").alias("within")
+    return told.join(exact, "column_name").select("column_name", "exact", within)
+
+
+def _windowed(spark, sf_dir, build) -> DataFrame:
+    """Windows emitted from three files of events, one by users, so that the third comes late."""
+    base = scratch_folder(spark, "windows")
+    kinds = "event_id BIGINT, user_id BIGINT, event_type STRING, ts TIMESTAMP"
+    events = table(spark, sf_dir, "events")
+    utc = F.to_timestamp_ltz(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+00:00")))
+    for part in range(3):
+        sent = events.where(F.col("user_id") % 3 == part).withColumn("ts", utc)
+        sent.select("event_id", "user_id", "event_type", "ts").repartition(1).write.mode("append").parquet(f"{base}/inbox")
+    stream = spark.readStream.schema(kinds).option("maxFilesPerTrigger", 1).parquet(f"{base}/inbox")
+    zones = Zones(base)
+    windows = build(stream)
+    run_window_stream(windows, zones).awaitTermination()
+    keys = {n: t for n, t in windows.dtypes if n not in WINDOW}
+    return _comparable(commits.read_zone(spark, zones, "windows", {**keys, **WINDOW}))
+
+
+@query
+def stream_windows(spark, sf_dir):
+    """Events per type in windows of six hours, a day's delay."""
+    return _windowed(spark, sf_dir, lambda rows: tumbling(rows, "ts", "6 hours", "1 day", ["event_type"]))
+
+
+@query
+def stream_sessions(spark, sf_dir):
+    """Sessions of users, ended by two days without an event, with five days' delay."""
+    return _windowed(spark, sf_dir, lambda rows: sessions(rows, "ts", "2 days", "5 days", ["user_id"]))
+
+
+@query
+def model_dictionary(spark, sf_dir):
+    """Indexes of two categories by frequency, made and looked up without passing the driver."""
+    rows, _ = _quality_rows(spark, sf_dir)
+    rows = rows.select("doc_id", F.when(F.col("lang") != "fr", F.col("lang")).alias("lang"), "source")
+    learned = rows.where("doc_id % 3 > 0 OR lang <> 'de'")
+    for name in ("lang", "source"):
+        index = dictionary.frequency_index(learned, name)
+        rows = dictionary.with_index(rows, name, index, f"{name}_index", hot=3)
+    return rows.select("doc_id", "lang_index", "source_index")
+
+
 @query
 def warehouse_rejects(spark, sf_dir):
     """Events loaded into typed columns; those with a value that does not fit, with each such value."""
@@ -854,6 +921,8 @@ def _quality_rows(spark, sf_dir) -> tuple[DataFrame, model.ModelSpec]:
 def model_features(spark, sf_dir):
     """The fitted feature stages: filled numbers, category indexes, one-hot positions."""
     rows, spec = _quality_rows(spark, sf_dir)
+    # A number in seven is unknown, and takes the median of the others.
+    rows = rows.withColumn("n_chars", F.when(F.col("doc_id") % 7 > 0, F.col("n_chars")))
     prepared = model.prepare(rows, spec)
     features = Pipeline(stages=model.feature_stages(prepared, spec)).fit(prepared).transform(prepared)
     return features.select(
@@ -901,6 +970,50 @@ def model_saved_equals_loaded(spark, sf_dir):
     )
 
 
+@query
+def model_folds(spark, sf_dir):
+    """The fold of each labelled document in cross-validation."""
+    return table(spark, sf_dir, "labels").select("doc_id", values.hash_fold(F.col("doc_id"), 3).alias("fold"))
+
+
+@query
+def model_choice(spark, sf_dir):
+    """The choice among candidates, given a metric of each on each fold; here shares of good documents by source."""
+    rows, _ = _quality_rows(spark, sf_dir)
+    folds = rows.withColumn("fold", values.hash_fold(F.col("doc_id"), 3))
+    tried = folds.groupBy(F.col("source").alias("parameters"), "fold").agg(F.avg("quality").alias("metric_value"))
+    best = model.choose(tried.withColumn("metric_name", F.lit("f1_score")))
+    return tried.where(F.col("parameters") == best).groupBy("parameters").agg(F.round(F.avg("metric_value"), 6).alias("mean"))
+
+
+@query
+def model_optimum(spark, sf_dir):
+    """Of each coefficient of the logistic regression, whether the loss is flat there."""
+    rows, spec = _quality_rows(spark, sf_dir)
+    spec = replace(spec, max_iter=500, tolerance=1e-12, reg_param=0.01, trees=1, depth=1)
+    train, _ = model.split(rows, spec)
+    found = model.optimum(model.train(train, spec)["logistic_regression"], train, spec)
+    # The widest column, the number of characters, sets the scale.
+    scale = train.agg(F.stddev("n_chars")).first()[0]
+    return found.select("coefficient", (F.abs("gradient") <= 1e-6 * scale).cast("int").alias("flat"))
+
+
+@query
+def model_test_scores(spark, sf_dir):
+    """The held-out rows of both learners' scores, and that the metrics are those of the scores."""
+    rows, spec = _quality_rows(spark, sf_dir)
+    train, test = model.split(rows, spec)
+    models = model.train(train, spec)
+    told = [model.predict(m, test, name, VERSION, spec, NOW) for name, m in models.items()]
+    scores = told[0].unionByName(told[1])
+    hits = scores.groupBy("model_name").agg(F.avg((F.col("risk_label") == F.col("prediction")).cast("int")).alias("hits"))
+    given = model.evaluate_all(models, test, VERSION, spec).where("metric_name = 'accuracy'")
+    agree = given.join(hits, "model_name").select(
+        "model_name", (F.abs(F.col("metric_value") - F.col("hits")) < 1e-9).cast("int").alias("agrees")
+    )
+    return scores.join(F.broadcast(agree), "model_name").select("model_name", "doc_id", "risk_label", "agrees")
+
+
 @query
 def model_metrics(spark, sf_dir):
     """Both learners trained and tested on whether a labelled document is good."""

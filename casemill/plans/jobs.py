@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill import commits, schemas, sinks
 from casemill.layout import Zones
-from casemill.operators import evaluate, model, score, summary
+from casemill.operators import evaluate, model, profile, score, summary
 from casemill.spec import CleanSpec, JdbcSpec, RuleSpec, StreamSpec
-from casemill.streaming.clean_stream import run_clean_stream
+from casemill.streaming.clean_stream import compact_zones, run_clean_stream
 
 
 def new_version() -> str:
@@ -119,22 +119,45 @@ def run_incremental_report(
     return _store_summary(spark, zones, summary.from_parts(sums, as_of), as_of, jdbc)
 
 
-def refresh_sums(
-    spark: SparkSession, zones: Zones, rule: RuleSpec = RuleSpec(), dimensions: tuple[str, ...] = summary.DIMENSIONS
-) -> int:
-    """Sum up the batches of silver that have no sums yet, or have changed; gives how many."""
+def _refresh(spark: SparkSession, zones: Zones, zone: str, derive: Callable[[DataFrame], DataFrame]) -> int:
+    """Fill the slots that silver has and ``zone`` has not, or as they were; gives how many."""
     log = commits.read_log(spark, zones)
-    slots = commits.missing(log, "summary_parts", "silver")
+    slots = commits.missing(log, zone, "silver")
     if slots:
         fresh = commits.read_zone(spark, zones, "silver", schemas.CLEAN, slots=True, log=log, only=slots)
         if fresh is not None:
-            label = F.col(rule.label)
-            scored = score.base_frame(fresh, rule).withColumn("prediction_probability", score.rule_probability(label, rule))
-            parts = summary.parts(scored, dimensions, tuple(commits.SLOT))
-            commits.adopt(parts, zones, "summary_parts", slots)
+            commits.adopt(derive(fresh), zones, zone, slots)
     return len(slots)
 
 
+def refresh_sums(
+    spark: SparkSession, zones: Zones, rule: RuleSpec = RuleSpec(), dimensions: tuple[str, ...] = summary.DIMENSIONS
+) -> int:
+    """Sum up the batches of silver that have no sums yet, or have changed; gives how many."""
+
+    def derive(rows: DataFrame) -> DataFrame:
+        probability = score.rule_probability(F.col(rule.label), rule)
+        scored = score.base_frame(rows, rule).withColumn("prediction_probability", probability)
+        return summary.parts(scored, dimensions, tuple(commits.SLOT))
+
+    return _refresh(spark, zones, "summary_parts", derive)
+
+
+def distinct_counts(
+    spark: SparkSession, zones: Zones, columns: tuple[str, ...] = ("report_id", *summary.DIMENSIONS)
+) -> DataFrame:
+    """(column_name, estimate) over silver, sketching only batches not sketched before.
+
+    Estimates are within ``profile.SKETCH_ERROR`` of the exact count, whatever the number
+    of batches, and small counts are exact. A batch written again is sketched anew.
+    """
+    _refresh(spark, zones, "sketches", lambda rows: profile.sketches(rows, columns, tuple(commits.SLOT)))
+    held = commits.read_zone(spark, zones, "sketches", schemas.SKETCHES)
+    if held is None:
+        raise LookupError("there is no committed batch to sketch")
+    return profile.distinct_estimates(held)
+
+
 def run_training(
     spark: SparkSession,
     zones: Zones,
@@ -173,6 +196,13 @@ def load_best(spark: SparkSession, zones: Zones):
     return model.load(f"{zones.best_model}/attempt={entry.attempt}")
 
 
+def tidy(spark: SparkSession, zones: Zones, *, older_than: float = 7 * 86_400) -> dict[str, int]:
+    """Gather small files and the log, and remove what no longer counts; gives folders removed per zone."""
+    compact_zones(spark, zones)
+    held = {entry.zone for entry in commits.read_log(spark, zones)}
+    return {zone: commits.vacuum(spark, zones, zone, older_than=older_than) for zone in sorted(held)}
+
+
 def run_all(
     spark: SparkSession,
     source: StreamSpec,

@@ -108,6 +108,9 @@ SUMMARY_PARTS = {
     "probability_sum": "double",
 }
 
+# Of one batch: what distinct counts are united from.
+SKETCHES = {"column_name": "string", "sketch": "binary"}
+
 # A value that did not fit the column it was meant for.
 REJECTS = {"table_name": "string", "row_id": "string", "column_name": "string", "value": "string", "row": "string"}
 

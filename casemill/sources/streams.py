@@ -17,16 +17,13 @@ def kafka_options(spec: StreamSpec) -> dict[str, str]:
         "subscribe": spec.topic,
         "startingOffsets": spec.starting_offsets,
     }
-    if spec.max_per_trigger:
-        options["maxOffsetsPerTrigger"] = str(spec.max_per_trigger)
-    return {**options, **spec.options}
+    return {**options, "maxOffsetsPerTrigger": str(spec.bound), **spec.options}
 
 
 def _file_options(spec: StreamSpec) -> dict[str, str]:
     if not spec.path:
         raise ValueError("a files source needs a path")
-    options = {"maxFilesPerTrigger": str(spec.max_per_trigger)} if spec.max_per_trigger else {}
-    return {**options, **spec.options}
+    return {"maxFilesPerTrigger": str(spec.bound), **spec.options}
 
 
 def stream_source(spark: SparkSession, spec: StreamSpec) -> DataFrame:

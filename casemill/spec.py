@@ -14,6 +14,9 @@ UNKNOWN = "unknown"
 RULE_MODEL_NAME = "rule_based_risk_scorer"
 COMPAT_REASON = "failed_json_parse"
 
+# What a micro-batch takes in at most, if not said otherwise: Kafka records, or files.
+BATCH_BOUND = {"kafka": 50_000_000, "files": 10_000}
+
 DedupMode = Literal["per_batch", "watermark", "state", "global", "indexed"]
 
 
@@ -111,10 +114,15 @@ class StreamSpec:
     starting_offsets: str = "earliest"
     path: str | None = None
     file_format: Literal["parquet", "text"] = "parquet"
-    # Upper bound on one micro-batch: Kafka records, or files.
+    # Upper bound on one micro-batch, so that the first one does not take all there is:
+    # Kafka records, or files. None: that of ``BATCH_BOUND``.
     max_per_trigger: int | None = None
     options: Mapping[str, str] = field(default_factory=dict)
 
+    @property
+    def bound(self) -> int:
+        return self.max_per_trigger or BATCH_BOUND[self.kind]
+
 
 @dataclass(frozen=True)
 class JdbcSpec:

@@ -150,7 +150,7 @@ def write_batch(messages: DataFrame, zones: Zones, run_id: str, batch_id: int, *
     commits.commit(messages.sparkSession, zones, staged)
 
 
-def _start(
+def start_stream(
     stream: DataFrame,
     checkpoint: str,
     trigger: Mapping[str, object],
@@ -263,7 +263,7 @@ def run_clean_stream(
         if compact_every and batch_id % compact_every == compact_every - 1:
             compact_zones(spark, zones)
 
-    queries = [_start(messages, f"{zones.checkpoints}/{name}", trigger, zone_batch)]
+    queries = [start_stream(messages, f"{zones.checkpoints}/{name}", trigger, zone_batch)]
     if stateful:
         typed = ops.typed_rows(ops.parse(stream_source(spark, source), spec), spec, now)
         if dedup == "watermark":
@@ -287,5 +287,5 @@ def run_clean_stream(
             )
             commits.commit(spark, zones, [staged])
 
-        queries.append(_start(typed, f"{zones.checkpoints}/{name}_silver", trigger, silver_batch))
+        queries.append(start_stream(typed, f"{zones.checkpoints}/{name}_silver", trigger, silver_batch))
     return queries

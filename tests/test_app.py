@@ -1,6 +1,8 @@
+import os
+
 import pytest
 
-from casemill import app, session
+from casemill import app, commits, session
 from casemill.sources import read_table
 from casemill import schemas
 
@@ -27,6 +29,19 @@ def test_jobs_in_order(spark, tmp_path, zones, own_session):
     assert set(own_session) == {"casemill-clean", "casemill-score", "casemill-report"}
 
 
+def test_upkeep_and_incremental_report(spark, tmp_path, zones, own_session):
+    inbox = str(tmp_path / "inbox")
+    for n in range(2):
+        land(spark, inbox, [record(safetyreportid=str(i), serious="1") for i in range(n, n + 3)])
+        app.main(["clean", "--root", zones.root, "--inbox", inbox, "--dedup", "indexed", "--late", "--key-buckets", "4"])
+    app.main(["report", "--root", zones.root, "--incremental", "--as-of", "2024-06-01"])
+    app.main(["tidy", "--root", zones.root, "--keep-days", "-1", "--key-buckets", "4"])
+    stored = commits.read(spark, zones, "summary").filter("dimension_type = 'overall'").first()
+    assert (stored.total_records, stored.high_risk_records) == (4, 4)
+    assert sorted(r.report_id for r in commits.read(spark, zones, "silver").collect()) == list("0123")
+    assert len(os.listdir(zones.silver)) == 1
+
+
 def test_a_topic_needs_servers(spark, zones, own_session):
     with pytest.raises(ValueError):
         app.main(["clean", "--root", zones.root])

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casemill import JdbcSpec, StreamSpec, commits, schemas, sinks
+from casemill.functions import values
 from casemill.operators import evaluate, model
 from casemill.plans import jobs
 from casemill.streaming import write_batch
@@ -61,6 +62,24 @@ def test_warehouse_loads(spark, zones, monkeypatch):
     ]
 
 
+def test_rows_that_do_not_fit_are_not_loaded(spark, zones, monkeypatch):
+    """Loaded and rejected rows are all rows; a load without misfits clears the table's rejects."""
+    loaded = []
+    monkeypatch.setattr(sinks, "jdbc_write", lambda df, *_: loaded.append(df.count()))
+    warehouse = JdbcSpec("jdbc:postgresql://db/w", "u", "p")
+    rows = spark.createDataFrame(
+        [("2024-06-01", "a", "x", str(n), 1, 1, 0.5) for n in (1, 2, "many")],
+        "summary_date string, dimension_type string, dimension_value string, total_records string,"
+        " high_risk_records long, low_risk_records long, average_probability double",
+    )
+    jobs.load_warehouse(zones, warehouse, {"risk_summary": rows})
+    (kept,) = commits.read(spark, zones, "rejects").collect()
+    assert (kept.table_name, kept.column_name, kept.value) == ("risk_summary", "total_records", "many")
+    assert loaded == [2] and '"total_records":"many"' in kept.row
+    jobs.load_warehouse(zones, warehouse, {"risk_summary": rows.where("total_records <> 'many'")})
+    assert commits.read_zone(spark, zones, "rejects", schemas.REJECTS) is None and loaded == [2, 2]
+
+
 def training_rows(spark, n=400):
     """The product decides the label, but for a few rows; one numeric column is empty."""
     i = F.col("id")
@@ -114,6 +133,36 @@ def test_values_unseen_in_training_are_scored(spark):
         assert model.predict(fitted, strange, name, "v1", spec).count() == 3
 
 
+def test_folds_and_choice(spark):
+    """Every candidate meets every fold; the same rows are held out each time; ties go by text."""
+    spec = model.ModelSpec(**SMALL)
+    features = model.train(training_rows(spark), spec)["logistic_regression"]
+    fold = values.hash_fold(F.col("report_id"), spec.folds).alias("fold")
+    vectors = model.PipelineModel(stages=features.stages[:-1]).transform(model.prepare(training_rows(spark), spec))
+    vectors = vectors.select("risk_label", "feature_vector", fold).persist()
+    grid = {"regParam": [0.01, 5.0], "maxIter": [5]}
+    tried = model.cross_validate(vectors, model.learners(spec)["logistic_regression"], grid, spec)
+    f1 = {(r.parameters, r.fold): r.metric_value for r in tried.where("metric_name = 'f1_score'").collect()}
+    texts = sorted(model.candidates(grid))
+    assert texts == ['{"maxIter": 5, "regParam": 0.01}', '{"maxIter": 5, "regParam": 5.0}']
+    assert sorted(f1) == [(t, n) for t in texts for n in range(spec.folds)]
+    assert model.choose(tried) == max(texts, key=lambda t: sum(f1[t, n] for n in range(spec.folds)))
+    even = tried.withColumn("metric_value", F.lit(0.1) + F.lit(0.2))
+    assert model.choose(even) == texts[0]
+
+
+def test_slope_at_the_optimum(spark):
+    """Flat in every coefficient after many steps, and not after one."""
+    rows = training_rows(spark).where("medicinal_product <> 'p9'")
+    slopes = {}
+    for steps in (1, 300):
+        spec = model.ModelSpec(**SMALL, max_iter=steps, tolerance=1e-12, reg_param=0.05)
+        found = model.optimum(model.train(rows, spec)["logistic_regression"], rows, spec).collect()
+        assert [r.coefficient for r in found] == list(range(len(found)))
+        slopes[steps] = max(abs(r.gradient) for r in found)
+    assert slopes[300] < 1e-6 < 1e-3 < slopes[1]
+
+
 def test_grid_search(spark):
     spec = model.ModelSpec(**SMALL)
     grids = {"logistic_regression": {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.7]}}
