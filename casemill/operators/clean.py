@@ -142,6 +142,14 @@ def survivor_order() -> list[Column]:
     ]
 
 
+def survivor_key() -> Column:
+    """``survivor_order`` as one value, least for the row that stays; for aggregates over a stream."""
+    ts, batch = F.col("ingestion_timestamp"), F.col("batch_number")
+    down = [F.isnull(ts), -F.unix_micros(ts), F.isnull(batch), -batch, F.bitwise_not(F.xxhash64("raw_record"))]
+    up = [c for name in ("source_api", "api_endpoint") for c in (F.isnull(name), F.col(name))]
+    return F.struct(*(c.alias(f"k{i}") for i, c in enumerate(down + up)))
+
+
 def clean_rows(parsed: DataFrame, spec: CleanSpec = CleanSpec(), now=None) -> DataFrame:
     """Typed rows, one per report."""
     return keep_one(typed_rows(parsed, spec, now), ["report_id"], survivor_order())

@@ -672,7 +672,8 @@ def stream_dedup_global(spark, sf_dir):
 
 @query
 def stream_dedup_state(spark, sf_dir):
-    return _silver_ids(spark, _streamed(spark, sf_dir, cycles=2, dedup="state"))
+    """As ``stream_dedup_global``, by state: the best row of the first cycle stays."""
+    return _silver_rows(spark, _streamed(spark, sf_dir, cycles=2, dedup="state"))
 
 
 @query

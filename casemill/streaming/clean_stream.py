@@ -155,6 +155,7 @@ def start_stream(
     checkpoint: str,
     trigger: Mapping[str, object],
     write: Callable[[DataFrame, str, int], None],
+    mode: str = "append",
 ) -> StreamingQuery:
     """Start a per-batch sink whose run id is the query's own, kept in its checkpoint.
 
@@ -170,7 +171,7 @@ def start_stream(
         write(batch, f"run-{holder[0].id}", batch_id)
 
     query = (
-        stream.writeStream.outputMode("append")
+        stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .foreachBatch(sink)
@@ -224,10 +225,11 @@ def run_clean_stream(
     * ``indexed``: as ``global``, but the ids are looked up in an index of hash
       buckets, of which a batch reads those its own ids fall in.
     * ``state``: against every id seen so far, kept in the state store, so a
-      batch costs what it holds. Which copy of one batch stays is not defined.
-    * ``watermark``: as ``state``, but ids are forgotten ``delay`` after they were
-      fetched, and rows arriving later than that are not cleaned (they stay in
-      bronze). Rows whose time cannot be read are cleaned, and deduplicated within
+      batch costs what it holds. Of the copies in the first batch that has the id
+      the first by ``survivor_order`` stays, which is kept with the id.
+    * ``watermark``: ids are forgotten ``delay`` after they were fetched, and rows
+      arriving later than that are not cleaned (they stay in bronze). Which copy of
+      one batch stays is not defined. Rows whose time cannot be read are cleaned, and deduplicated within
       their batch only.
 
     ``late`` sets rows aside that were fetched more than ``delay`` before the latest
@@ -276,16 +278,28 @@ def run_clean_stream(
                 .unionByName(timeless)
             )
         else:
-            typed = typed.dropDuplicates(["report_id"])
+            # Within one batch the time is one value, so an id is new if it was first and last seen at once.
+            typed = (
+                typed.withColumn("_seen", F.current_timestamp())
+                .groupBy("report_id")
+                .agg(
+                    F.min_by(F.struct(*typed.columns), ops.survivor_key()).alias("_row"),
+                    F.min("_seen").alias("_first"),
+                    F.max("_seen").alias("_last"),
+                )
+            )
 
         def silver_batch(batch: DataFrame, run_id: str, batch_id: int) -> None:
             if dedup == "watermark":
                 batch = keep_one(batch, ["report_id"], ops.survivor_order())
+            else:
+                batch = batch.where("_first = _last").select("_row.*")
             attempt = commits.new_attempt()
             staged = commits.stage(
                 batch, zones, "silver", attempt, run_id, batch_id, partition="batch_number", gather=True
             )
             commits.commit(spark, zones, [staged])
 
-        queries.append(start_stream(typed, f"{zones.checkpoints}/{name}_silver", trigger, silver_batch))
+        mode = "append" if dedup == "watermark" else "update"
+        queries.append(start_stream(typed, f"{zones.checkpoints}/{name}_silver", trigger, silver_batch, mode))
     return queries

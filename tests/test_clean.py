@@ -1,11 +1,13 @@
 import hashlib
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from casemill import CleanSpec, schemas
 from casemill.operators import clean
+from casemill.operators.dedup import keep_one
 
 from cases import LENIENT_BAD, MESSAGES, NOW, RECORDS, REASONS, TYPED, envelope, messages
 
@@ -146,3 +148,15 @@ def test_each_text_is_parsed_once(spark):
     plan = clean.clean(messages(spark), now=NOW).clean._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 2
     assert "Python" not in plan
+
+
+def test_survivor_key_orders_as_the_order_does(spark):
+    """The least key is the first row, with nulls and ties in every column."""
+    dice = random.Random(4)
+    pick = lambda *values: dice.choice([None, *values])
+    rows = [(dice.randrange(30), pick("2024-01-01", "2024-01-02"), pick(1, 2), pick("x", "y"), pick("a", "b"), pick("p", "q")) for _ in range(400)]
+    names = "report_id int, t string, batch_number int, raw_record string, source_api string, api_endpoint string"
+    frame = spark.createDataFrame(rows, names).withColumn("ingestion_timestamp", F.col("t").cast("timestamp"))
+    first = keep_one(frame, ["report_id"], clean.survivor_order())
+    least = frame.groupBy("report_id").agg(F.min_by(F.struct(*frame.columns), clean.survivor_key()).alias("r")).select("r.*")
+    assert sorted(map(str, first.collect())) == sorted(map(str, least.collect()))
