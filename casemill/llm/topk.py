@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from casemill.llm.text import stored
 
-ROWS, QUERIES = 1024, 512  # of a block, about
+ROWS, QUERIES = 4096, 512  # of a block, about; every block of rows meets a copy of the queries
 BITS = 12  # a histogram has at most 2 ** BITS bins
 _LARGE = (1 << 63) - 1
 
@@ -134,7 +134,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5) -> DataFrame:
     def paired(state: DataFrame) -> DataFrame:
         sets = _blocks(asked.join(state, "row"), group, "shift", "prefix", "need")
         sets = sets.select("dim", F.col("held").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block"))
-        return held.join(sets, ["dim", "block"]).select("dim", "rows", "queries")
+        # Never a broadcast: the planner's estimate of the sets counts none of their copies, that of the blocks no decoding.
+        return held.hint("merge").join(sets, ["dim", "block"]).select("dim", "rows", "queries")
 
     best_first = Window.partitionBy("query").orderBy(F.desc("bin"))
     while bits > 0:

@@ -67,6 +67,21 @@ def test_many_blocks(spark, monkeypatch, tmp_path):
     assert run(spark, rows, tmp_path) == brute(rows)
 
 
+def test_blocks_are_never_broadcast(spark, monkeypatch, tmp_path):
+    """The planner takes the sets of queries for small, as it counts none of their copies."""
+    monkeypatch.setattr(topk, "ROWS", 7)
+    paired, each = [], topk._each
+    monkeypatch.setattr(topk, "_each", lambda frame, *rest: paired.append(frame) or each(frame, *rest))
+    rows = [(i, [float(i % 7), 1.0]) for i in range(200)]
+    assert run(spark, rows, tmp_path) == brute(rows)
+    assert paired
+    for frame in paired:
+        frame.collect()
+        final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        joins = [line for line in final.splitlines() if "Join" in line]
+        assert "SortMergeJoin [dim" in joins[0]
+
+
 def test_few_and_none(spark, tmp_path):
     assert run(spark, [(0, [1.0]), (3, [2.0])], tmp_path / "a") == [(0, 1, 3, 131072)]
     assert run(spark, [], tmp_path / "b") == []
