@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, functions as F
 
 from casemill import schemas
 from casemill.files import delete
@@ -14,17 +14,24 @@ from casemill.sources.tables import read_table
 from casemill.spec import JdbcSpec
 
 
+SHARES = 16  # without adaptive execution a partition value goes to this part of the tasks
+
+
 def gathered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows arranged so that a partitioned write makes few, evenly sized files.
 
     Without it every task writes a file into every partition it has rows for.
     The rebalance splits a partition value that holds most of the rows over many
     tasks, which a plain repartition by that value would not. It needs adaptive
-    execution; without it the frame is left as it is.
+    execution, which a stream with state runs without: there every value is dealt
+    out in as many shares as a sixteenth of the shuffle has partitions.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
-        return df
-    return df.hint("rebalance", *columns)
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", *columns)
+    width = int(conf.get("spark.sql.shuffle.partitions"))
+    content = [name for name, kind in df.dtypes if "map<" not in kind]
+    return df.repartition(width, *columns, F.pmod(F.xxhash64(*content), F.lit(max(1, width // SHARES))))
 
 
 def append_partitioned(df: DataFrame, path: str, partition: str = "batch_number") -> None:

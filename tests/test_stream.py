@@ -55,6 +55,19 @@ def test_duplicates_across_batches(spark, tmp_path, zones, dedup, want):
     assert read_table(spark, zones.bronze).count() == 6
 
 
+@pytest.mark.parametrize("dedup", ["state", "watermark"])
+def test_a_stream_with_state_writes_few_files(spark, tmp_path, zones, dedup):
+    """Such a stream runs without adaptive execution; each task must not write a file for every batch number."""
+    inbox = str(tmp_path / "inbox")
+    for batch in (1, 2, 3):
+        land(spark, f"{inbox}/{batch}", [record(safetyreportid=f"{batch}-{n}") for n in range(40)], batch)
+    spark.read.parquet(*(f"{inbox}/{b}" for b in (1, 2, 3))).coalesce(1).write.parquet(f"{inbox}/all")
+    run(spark, f"{inbox}/all", zones, dedup=dedup)
+    stored = jobs.read_silver(spark, zones)
+    assert stored.count() == 120
+    assert len(stored.inputFiles()) == 3
+
+
 def test_a_broken_time_does_not_move_the_watermark(spark, tmp_path, zones):
     """Old rows in three files, one with an unreadable time: none is taken for late."""
     inbox = str(tmp_path / "inbox")
