@@ -684,8 +684,10 @@ def stream_dedup_watermark(spark, sf_dir):
 @query
 def stream_replay(spark, sf_dir):
     """A batch written twice under the same id leaves one copy, in every zone."""
-    zones = Zones(scratch_folder(spark, "replay"))
-    batch = messages(spark, sf_dir)
+    base = scratch_folder(spark, "replay")
+    zones = Zones(f"{base}/zones")
+    messages(spark, sf_dir).write.parquet(f"{base}/inbox")  # a replay reads its batch again, nobody makes it anew
+    batch = spread(spark.read.parquet(f"{base}/inbox"))
     for _ in range(2):
         write_batch(batch, zones, "run-1", 0, now=NOW)
     zone = {"raw": "bronze", "clean": "silver", "bad": "quarantine"}

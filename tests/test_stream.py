@@ -159,6 +159,25 @@ def test_replayed_batch_changes_nothing(spark, zones):
     assert counted(spark, zones, "bronze") == 2 * len(RECORDS)
 
 
+def test_a_replay_reads_only_other_batches(spark, zones):
+    """A batch written again need not open what its earlier attempt stored, also once that is compacted."""
+    ids = lambda run: clean_stream._others(
+        spark, zones, "silver", {"report_id": "string"}, run, 0, commits.read_log(spark, zones)
+    )
+    write_batch(messages(spark, dict(enumerate(KEYS))), zones, "run-1", 0, now=NOW)
+    assert ids("run-1") is None
+    write_batch(messages(spark, dict(c=record(safetyreportid="c"))), zones, "run-2", 0, now=NOW)
+    assert [r.report_id for r in ids("run-1").collect()] == ["c"]
+    opened, silver_now = ids("run-2").inputFiles(), commits.latest(commits.read_log(spark, zones), "silver")
+    attempt = silver_now["silver", "run-1", 0].attempt
+    assert opened and all(f"attempt={attempt}/" in file for file in opened)
+    clean_stream.compact_zones(spark, zones)
+    assert sorted(r.report_id for r in ids("run-2").collect()) == ["a", "b"]
+    assert [r.report_id for r in ids("run-1").collect()] == ["c"]
+    write_batch(messages(spark, dict(enumerate(KEYS))), zones, "run-1", 0, now=NOW)
+    assert silver(spark, zones) == ["a", "b", "c"]
+
+
 def test_unheld_batch_gives_the_same_rows(spark, tmp_path, zones):
     write_batch(messages(spark), zones, "run-a", 0, now=NOW, keep=False)
     want = sorted(r.report_id for r in clean.clean(messages(spark), now=NOW).clean.collect())
