@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casemill import CleanSpec, StreamSpec, commits, schemas
+from casemill.files import children
 from casemill.operators import clean
 from casemill.plans import jobs
 from casemill.sources import read_table
@@ -55,6 +56,25 @@ def test_duplicates_across_batches(spark, tmp_path, zones, dedup, want):
     assert read_table(spark, zones.bronze).count() == 6
 
 
+@pytest.mark.parametrize("dedup", ["per_batch", "state", "watermark"])
+def test_a_batch_is_not_held_in_memory(spark, tmp_path, zones, monkeypatch, dedup):
+    """Zones are written from files that hold the parsed rows, never from Spark's cache, and the files go."""
+    inbox, plans, real = str(tmp_path / "inbox"), {}, commits.stage
+
+    def stage(rows, zones, zone, *args, **kwargs):
+        plans[zone] = rows._jdf.queryExecution().executedPlan().toString()
+        return real(rows, zones, zone, *args, **kwargs)
+
+    land(spark, inbox, RECORDS.values())
+    monkeypatch.setattr(commits, "stage", stage)
+    run(spark, inbox, zones, dedup=dedup)
+    assert set(plans) == {"bronze", "silver", "quarantine"}
+    assert not any("InMemoryTableScan" in plan for plan in plans.values())
+    assert "from_json" not in plans["bronze"] + plans["quarantine"]
+    assert counted(spark, zones, "bronze") == len(RECORDS)
+    assert children(spark, zones.parsed) == []
+
+
 @pytest.mark.parametrize("dedup", ["state", "watermark"])
 def test_a_stream_with_state_writes_few_files(spark, tmp_path, zones, dedup):
     """Such a stream runs without adaptive execution; each task must not write a file for every batch number."""
