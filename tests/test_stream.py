@@ -88,6 +88,24 @@ def test_a_stream_with_state_writes_few_files(spark, tmp_path, zones, dedup):
     assert len(stored.inputFiles()) == 3
 
 
+@pytest.mark.parametrize("chosen", [None, "HDFSBackedStateStoreProvider"])
+def test_ids_are_kept_on_disk(spark, tmp_path, zones, chosen):
+    """Whatever the session, a stream with state keeps it in RocksDB, unless the caller chose a store."""
+    session, name = spark.newSession(), "spark.sql.streaming.stateStore.providerClass"
+    session.conf.set("spark.sql.shuffle.partitions", "3")
+    if chosen:
+        session.conf.set(name, f"org.apache.spark.sql.execution.streaming.state.{chosen}")
+    before, inbox = session.conf.get(name), str(tmp_path / "inbox")
+    land(session, inbox, KEYS)
+    run(session, inbox, zones, dedup="watermark")
+    log = spark.read.text(f"{zones.checkpoints}/clean_stream_silver/offsets/0").where("value LIKE '%conf%'").first().value
+    conf = json.loads(log)["conf"]
+    assert conf[name].rsplit(".", 1)[-1] == (chosen or "RocksDBStateStoreProvider")
+    assert conf["spark.sql.shuffle.partitions"] == "3"
+    assert session.conf.get(name) == before
+    assert silver(session, zones) == ["a", "b"]
+
+
 def test_a_broken_time_does_not_move_the_watermark(spark, tmp_path, zones):
     """Old rows in three files, one with an unreadable time: none is taken for late."""
     inbox = str(tmp_path / "inbox")
