@@ -106,6 +106,20 @@ def test_ids_are_kept_on_disk(spark, tmp_path, zones, chosen):
     assert silver(session, zones) == ["a", "b"]
 
 
+def test_state_holds_ids_and_the_best_row_of_the_first_batch_stays(spark, tmp_path, zones):
+    """The rows themselves do not lie in the state, and no better copy of a later batch takes their place."""
+    inbox, text = str(tmp_path / "inbox"), lambda key, n: record(safetyreportid=key, receiptdate=f"2024010{n}")
+    land(spark, inbox, [text("a", 1), text("a", 2), text("b", 3)], 1)
+    run(spark, inbox, zones, dedup="state")
+    land(spark, inbox, [text("c", 4), text("b", 5), text("a", 6), text("c", 7), text("a", 8)], 2)
+    run(spark, inbox, zones, dedup="state")
+    rows = sorted((r.report_id, r.receipt_date.day, r.batch_number) for r in jobs.read_silver(spark, zones).collect())
+    assert rows == [("a", 2, 1), ("b", 3, 1), ("c", 7, 2)]
+    state = spark.read.format("statestore").load(f"{zones.checkpoints}/clean_stream_silver")
+    assert sorted(r.key[0] for r in state.select("key").collect()) == list("abc")
+    assert {f.dataType.simpleString() for f in state.schema["value"].dataType} == {"timestamp"}
+
+
 def test_a_broken_time_does_not_move_the_watermark(spark, tmp_path, zones):
     """Old rows in three files, one with an unreadable time: none is taken for late."""
     inbox = str(tmp_path / "inbox")
